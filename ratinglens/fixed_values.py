@@ -101,7 +101,7 @@ COMPETITOR_TABLE_HEADINGS = {
 }
 
 # --- fixed values: word cleaning ------------------------------------------------------------------
-NON_LETTERS = r"[^a-zA-ZÀ-ÿ\s]"
+NON_LETTER_RUN = "[^a-zA-ZÀ-ÿ]+"
 MIN_WORD_LETTERS = 2
 # words of the review domain that are never counted
 DOMAIN_STOP_WORDS = """

@@ -6,15 +6,13 @@ from pyspark.sql import functions as F
 from .. import fixed_values as V
 
 
-def cleaned_text(text: Column) -> Column:
-    """Lower case, letters only, single spaces."""
-    letters = F.regexp_replace(F.lower(text), V.NON_LETTERS, " ")
-    return F.trim(F.regexp_replace(letters, r"\s+", " "))
-
-
 def words(text: Column) -> Column:
-    """Array of all words of a text."""
-    return F.split(cleaned_text(text), " ")
+    """Lower-case words of a text: its runs of letters. An empty word marks a text that starts otherwise.
+
+    Cutting at everything that is no letter gives the words of the text whose other characters were replaced by
+    single spaces, in one pass.
+    """
+    return F.split(F.lower(text), V.NON_LETTER_RUN)
 
 
 def stop_words(base=None) -> list[str]:

@@ -116,8 +116,9 @@ def word_counts(reviews: DataFrame, k: int = V.TOP_WORDS, base_stop_words=None)
     """The k most used words per business, without stop words; ties go alphabetically.
 
     Words are counted on the map side, and the length of a business's cleaned text is added up from those counts, so
-    no text is ever joined together. Businesses with hardly any text have no list. Stop words are ranked last rather
-    than filtered out early: that keeps both uses of the counts the same, and the texts are read once.
+    no text is ever joined together. Businesses with hardly any text have no list. Both uses of the counts are kept the
+    same, so that Spark reuses their shuffle and the texts are read once: stop words are ranked last rather than filtered
+    out early, and the length comes back by an inner join, as a semi join would move below the counting.
     """
     counts = (
         review_texts(reviews)
@@ -127,14 +128,11 @@ def word_counts(reviews: DataFrame, k: int = V.TOP_WORDS, base_stop_words=None)
     )
     # all words joined by single spaces
     text_length = F.sum((F.length("word") + 1) * F.col("uses")) - 1
-    readable = (
-        counts.groupBy("business_id").agg(text_length.alias("chars"))
-        .filter(F.col("chars") >= V.MIN_CLOUD_CHARS).select("business_id")
-    )
+    lengths = counts.groupBy("business_id").agg(text_length.alias("chars"))
     listed = (F.length("word") >= V.MIN_WORD_LETTERS) & ~F.col("word").isin(stop_words(base_stop_words))
     by_use = W.partitionBy("business_id").orderBy(F.desc("listed"), F.desc("uses"), "word")
     return (
-        counts.join(readable, "business_id", "left_semi")
+        counts.join(lengths.filter(F.col("chars") >= V.MIN_CLOUD_CHARS), "business_id")
         .withColumn("listed", listed)
         .withColumn("rank", F.row_number().over(by_use)).filter((F.col("rank") <= k) & F.col("listed"))
         .select("business_id", "word", "uses", "rank")

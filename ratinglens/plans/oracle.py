@@ -39,6 +39,7 @@ def columns(table: str) -> str:
     return ", ".join(RESULT_TABLES[table])
 
 
+NON_LETTERS = r"[^a-zA-ZÀ-ÿ\s]"
 DATE_LAYOUT = "%Y-%m-%d %H:%M:%S"
 STARS = (1, 2, 3, 4, 5)
 RECENT = f"reviewed_at >= cast(DATE '{AS_OF}' - INTERVAL {V.RECENT_DAYS} DAY as timestamp)"
@@ -281,7 +282,7 @@ BLOCKS = {
     "stored": f"select * from review where reviewed_at < TIMESTAMP '{STORED_BEFORE}'",
     "word": rf"""
         select source as business_id,
-               unnest(string_split(trim(regexp_replace(regexp_replace(lower(text), '{V.NON_LETTERS}', ' ', 'g'),
+               unnest(string_split(trim(regexp_replace(regexp_replace(lower(text), '{NON_LETTERS}', ' ', 'g'),
                                                        '\s+', ' ', 'g')), ' ')) as word
         from documents where text <> ''""",
 }

@@ -55,9 +55,11 @@ class TableFolder:
         """``SELECT *`` of a stored table; aggregates and filters on it push down as usual."""
         return read_columnar(self.spark, self.path(name), self.fmt)
 
-    def replace(self, name: str, df: DataFrame, order_by=()) -> None:
-        """Replaces a table; ``order_by`` range-sorts the files for readers that rely on file order."""
-        write_columnar(df.orderBy(*order_by) if order_by else df, self.path(name), self.fmt)
+    def replace(self, name: str, df: DataFrame, order_by: dict | None = None) -> None:
+        """Replaces a table; ``order_by`` (column -> ascending) range-sorts it for readers that rely on file order."""
+        if order_by:
+            df = df.orderBy(*order_by, ascending=list(order_by.values()))
+        write_columnar(df, self.path(name), self.fmt)
 
     def register_views(self, names) -> None:
         """Temporary views over the stored tables, for ``spark.sql`` queries by name."""

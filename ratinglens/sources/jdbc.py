@@ -35,7 +35,7 @@ class JdbcTables:
     def read(self, name: str) -> DataFrame:
         return read_jdbc_table(self.spark, self.connection, name)
 
-    def replace(self, name: str, df: DataFrame, order_by=()) -> None:
+    def replace(self, name: str, df: DataFrame, order_by: dict | None = None) -> None:
         """Rows of a database table have no order, so ``order_by`` is not used."""
         write_jdbc_table(df, self.connection, name)
 

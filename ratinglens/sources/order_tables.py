@@ -25,8 +25,17 @@ def _table(spark: SparkSession, folder: str, name: str) -> DataFrame:
     return spark.read.parquet(f"{folder.rstrip('/')}/{name}.parquet")
 
 
+def _spread(df: DataFrame, key: str) -> DataFrame:
+    """Spreads a table over all cores if it is stored in fewer pieces than there are cores.
+
+    Test tables are single files, read by one task each. A table of many files is left alone.
+    """
+    cores = df.sparkSession.sparkContext.defaultParallelism
+    return df if df.rdd.getNumPartitions() >= cores else df.repartition(cores, key)
+
+
 def read_reviews(spark: SparkSession, folder: str) -> DataFrame:
-    line, number = _table(spark, folder, "lineitem"), F.col("l_linenumber")
+    line, number = _spread(_table(spark, folder, "lineitem"), "l_orderkey"), F.col("l_linenumber")
     shipped = F.col("l_shipdate").cast("timestamp_ntz")
     return line.join(_table(spark, folder, "orders"), F.col("l_orderkey") == F.col("o_orderkey")).select(
         F.concat_ws(
@@ -78,5 +87,5 @@ def read_review_tables(spark: SparkSession, folder: str) -> ReviewTables:
 
 def read_review_texts(spark: SparkSession, folder: str) -> DataFrame:
     """The document table as review texts, one business per document source."""
-    return _table(spark, folder, "documents").select(
+    return _spread(_table(spark, folder, "documents"), "doc_id").select(
         F.col("doc_id").alias("review_id"), F.col("source").alias("business_id"), "text")
