@@ -56,7 +56,7 @@ def read_business(spark: SparkSession, folder: str) -> DataFrame:
     key, segment = F.col("c_custkey"), F.col("c_mktsegment")
     nation = _table(spark, folder, "nation").join(
         _table(spark, folder, "region"), F.col("n_regionkey") == F.col("r_regionkey"))
-    return _table(spark, folder, "customer").join(nation, F.col("c_nationkey") == F.col("n_nationkey")).select(
+    return _spread(_table(spark, folder, "customer"), "c_custkey").join(nation, F.col("c_nationkey") == F.col("n_nationkey")).select(
         key.alias("business_id"),
         F.col("c_name").alias("name"),
         F.col("n_name").alias("city"),

@@ -1,0 +1,112 @@
+import pytest
+
+from ratinglens.operators import business as B
+
+from .conftest import rows, same
+
+
+def test_overview_recent_window_and_fallback(make_reviews, make_business):
+    reviews = make_reviews(
+        {"business_id": "b000", "stars": 1.0, "date": "2020-03-03 00:00:00"},    # 89 days before
+        {"business_id": "b000", "stars": 2.0, "date": "2020-03-02 00:00:00"},    # exactly 90 days
+        {"business_id": "b000", "stars": 5.0, "date": "2020-03-01 23:59:59"},    # too old
+        {"business_id": "b000", "stars": 4.0, "date": "2021-01-01 00:00:00"},    # no upper bound
+        {"business_id": "b001", "stars": 4.5, "date": "2001-01-01 00:00:00"},
+        {"business_id": "gone", "stars": 4.5})
+    found = rows(B.business_overview(make_business({}, {}, {}), reviews, "2020-05-31"))
+    assert [r["business_id"] for r in found] == ["b000", "b001"]
+    assert (found[0]["total_reviews"], found[0]["average_rating"], found[0]["recent_average"]) == (4, 3.0, 2.33)
+    assert found[0]["last_review_date"] == "2021-01-01 00:00:00"
+    assert (found[1]["average_rating"], found[1]["recent_average"]) == (4.5, 4.5)
+
+
+def test_overview_recent_without_stars_falls_back(make_reviews, make_business):
+    reviews = make_reviews({"business_id": "b000", "stars": 2.0, "date": "2001-01-01"},
+                           {"business_id": "b000", "stars": None, "date": "2020-05-30"})
+    row, = rows(B.business_overview(make_business({}), reviews, "2020-05-31"))
+    assert (row["total_reviews"], row["recent_average"], row["last_review_date"]) == (2, 2.0, "2020-05-30")
+
+
+def test_half_stars_keep_their_own_row(make_reviews):
+    found = rows(B.rating_distribution(make_reviews({"stars": 3.0}, {"stars": 3.5}, {"stars": 3.5}, {"stars": 4.0})))
+    assert sorted((r["rating"], r["count"]) for r in found) == [(3, 1), (3, 2), (4, 1)]
+
+
+@pytest.mark.parametrize("period_type, period", [
+    ("month", "2020-11"), ("quarter", "2020-Q4"), ("year", "2020"), ("week", "2020-11")])
+def test_period_types(make_reviews, period_type, period):
+    row, = rows(B.temporal_analysis(make_reviews({"date": "2020-11-30 23:59:59"}), period_type))
+    assert (row["period"], row["period_type"], row["cool_total"], row["useful_total"]) == (period, period_type, None, 1)
+
+
+def test_unreadable_dates_form_one_null_period(make_reviews):
+    reviews = make_reviews({"date": "soon"}, {"date": None}, {"date": "2020-02-30"}, {})
+    found = {r["period"]: r["review_count"] for r in rows(B.temporal_analysis(reviews))}
+    assert found == {None: 3, "2020-01": 1}
+
+
+def test_all_periods_from_months_equal_the_single_ones(tables):
+    combined = B.temporal_analysis_all(B.period_totals(tables.reviews))
+    for period_type in ("month", "quarter", "year"):
+        assert same(B.temporal_analysis(tables.reviews, period_type), combined.filter(f"period_type = '{period_type}'"))
+
+
+def test_trend_from_months_equals_direct(tables):
+    months = B.period_totals(tables.reviews, "month")
+    assert same(B.trend_analysis(tables.reviews).select("business_id", "trend", "total_quarters"),
+                B.trend_from_quarters(B.coarser_totals(months, "quarter")).select(
+                    "business_id", "trend", "total_quarters"))
+
+
+def quarters(business_id, *means):
+    return [{"business_id": business_id, "stars": m, "date": f"{2010 + i // 4}-{1 + 3 * (i % 4):02}-05"}
+            for i, m in enumerate(means)]
+
+
+def test_trend_labels_and_quarter_count(make_reviews):
+    reviews = make_reviews(
+        *quarters("two", 1.0, 5.0), *quarters("three", 1.0, 3.0, 5.0), *quarters("up", 3.0, 3.0, 3.0, 4.0),
+        *quarters("down", 4.0, 3.0, 3.0, 3.0), *quarters("edge", 3.0, 3.0, 3.0, 3.6))
+    found = {r["business_id"]: r for r in rows(B.trend_analysis(reviews))}
+    assert set(found) == {"three", "up", "down", "edge"}
+    assert found["three"]["trend"] == "stable" and found["three"]["early_avg"] == found["three"]["recent_avg"]
+    assert found["up"]["trend"] == "amélioration" and found["up"]["total_quarters"] == 4
+    assert found["down"]["trend"] == "dégradation"
+    assert found["edge"]["trend"] == "stable"   # exactly +0.2
+
+
+def test_undated_quarter_comes_first_and_counts(make_reviews):
+    reviews = make_reviews({"stars": 1.0, "date": None}, *quarters("b", 5.0, 5.0, 5.0))
+    row, = rows(B.trend_analysis(reviews))
+    assert row["total_quarters"] == 4
+    assert row["early_avg"] == pytest.approx(11 / 3) and row["trend"] == "amélioration"
+
+
+def test_trend_without_stars_is_stable(make_reviews):
+    reviews = make_reviews(*[{"stars": None, "date": f"2020-{m:02}-01"} for m in (1, 4, 7)])
+    row, = rows(B.trend_analysis(reviews))
+    assert (row["early_avg"], row["trend"]) == (None, "stable")
+
+
+@pytest.fixture
+def users(spark):
+    return spark.createDataFrame([("u1", "Ann", "2019"), ("u2", "Bo", ""), ("u3", "Cy", None)],
+                                 "user_id string, name string, elite string")
+
+
+def test_user_stats(make_reviews, users):
+    reviews = make_reviews({"user_id": "u1", "useful": 3}, {"user_id": "u1", "useful": 4}, {"user_id": "u2"},
+                           {"user_id": "u3", "useful": None}, {"user_id": "stranger", "useful": 99})
+    row, = rows(B.business_user_stats(users, reviews))
+    assert row == {"business_id": "b", "unique_users": 3, "avg_reviews_per_user": 1.3, "elite_users_count": 2,
+                   "max_useful_votes": 7}
+    row, = rows(B.business_user_stats(users, reviews, blank_is_null=True))
+    assert row["elite_users_count"] == 1
+
+
+def test_top_reviewers_ties_and_nulls(make_reviews, users):
+    reviews = make_reviews({"user_id": "u3", "useful": 5}, {"user_id": "u2", "useful": 5},
+                           {"user_id": "u1", "useful": None})
+    found = {r["rn"]: r["user_id"] for r in rows(B.top_reviewers(users, reviews))}
+    assert found == {1: "u2", 2: "u3", 3: "u1"}
+    assert B.top_reviewers(users, reviews, k=2).count() == 2

@@ -1,0 +1,170 @@
+import itertools
+
+import pytest
+from hypothesis import HealthCheck, given, settings, strategies as st
+from pyspark.sql import Window as W
+from pyspark.sql import functions as F
+
+from ratinglens.functions.rules import label_list, label_text
+from ratinglens.operators import competitive as C
+from ratinglens.sources.order_tables import AS_OF
+
+from .conftest import rows, same
+
+
+def plain_mappings(business, depth):
+    """The straightforward self join that the bounded lists have to equal."""
+    members = C.market_members(business)
+    t, c = members.alias("t"), members.alias("c")
+    pairs = t.join(c, F.expr("t.main_category = c.main_category and t.state = c.state and "
+                             "t.business_id <> c.business_id")).selectExpr(
+        "t.business_id target_business_id", "t.name target_name", "t.city target_city", "t.state target_state",
+        "t.main_category target_category", "c.business_id competitor_business_id", "c.name competitor_name",
+        "c.city competitor_city", "c.state competitor_state", "coalesce(t.city = c.city, false) is_same_city")
+    order = W.partitionBy("target_business_id").orderBy(
+        F.desc("is_same_city"), F.asc_nulls_first("competitor_name"), "competitor_business_id")
+    return pairs.withColumn("place", F.row_number().over(order)).filter(F.col("place") <= depth).drop("place")
+
+
+def test_mappings_equal_the_self_join(tables):
+    assert same(C.competitor_mappings(tables.business), plain_mappings(tables.business, 50))
+
+
+member = st.fixed_dictionaries({
+    "name": st.sampled_from([None, "x", "y", "z"]),
+    "city": st.sampled_from([None, "c1", "c2", "c3"]),
+    "state": st.sampled_from([None, "s1", "s2"]),
+    "categories": st.sampled_from([None, "", " ,Bars", "Food", " Food ,Bars", "Bars"]),
+})
+
+
+@settings(max_examples=12, deadline=None, suppress_health_check=[HealthCheck.function_scoped_fixture])
+@given(st.lists(member, min_size=0, max_size=40), st.integers(1, 6))
+def test_bounded_lists_on_any_members(make_business, members, depth):
+    business = make_business(*members)
+    assert same(C.competitor_mappings(business, depth), plain_mappings(business, depth))
+
+
+def test_more_rivals_of_one_name_than_are_kept(make_business):
+    business = make_business(*[{"name": "same"}] * 60, *[{"name": "aaa", "city": None}] * 55)
+    assert same(C.competitor_mappings(business), plain_mappings(business, 50))
+
+
+def test_members_need_category_and_state(make_business):
+    business = make_business({"categories": None}, {"categories": ""}, {"categories": " ,x"}, {"state": None},
+                             {"categories": " Food ,x"})
+    row, = rows(C.market_members(business))
+    assert row["main_category"] == "Food"
+
+
+def test_profile_of_a_single_review(make_reviews, make_business):
+    row, = rows(C.business_profiles(make_business({}), make_reviews({"business_id": "b000", "stars": 4.0}), "2030-01-01"))
+    assert (row["rating_stddev"], row["recent_reviews"], row["recent_unique_users"]) == (0.0, 0, 0)
+    assert (row["rating_4"], row["rating_5"], row["total_cool"]) == (1, 0, None)
+    assert row["first_review_date"] == row["last_review_date"] == "2020-01-15 10:00:00"
+
+
+def test_profile_half_stars_and_recent_users(make_reviews, make_business):
+    reviews = make_reviews(
+        *[{"business_id": "b000", "user_id": u, "stars": s, "date": d} for u, s, d in [
+            ("u1", 3.5, "2020-01-01"), ("u1", 3.0, "2020-05-30"), ("u1", 5.0, "2020-05-30"), ("u2", 4.0, "2020-05-30")]])
+    row, = rows(C.business_profiles(make_business({}), reviews, "2020-05-31"))
+    assert [row[f"rating_{s}"] for s in range(1, 6)] == [0, 0, 1, 1, 1]
+    assert (row["recent_reviews"], row["recent_unique_users"], row["recent_average"]) == (3, 2, 4.0)
+    assert row["rating_stddev"] == 0.85   # sample deviation of 3.5, 3, 5, 4
+
+
+def test_stddev_does_not_depend_on_partitions(make_reviews, make_business):
+    stars = [1.0] * 12 + [2.0] * 19 + [3.0] * 12 + [4.0] * 10 + [5.0] * 11   # deviation of exactly 1.375
+    reviews = make_reviews(*[{"business_id": "b000", "stars": s} for s in stars])
+    for parts in (1, 3, 8):
+        row, = rows(C.business_profiles(make_business({}), reviews.repartition(parts), "2020-05-31"))
+        assert row["rating_stddev"] == 1.38
+
+
+@pytest.fixture(scope="module")
+def analysis(tables):
+    profiles = C.business_profiles(tables.business, tables.reviews, AS_OF).persist()
+    return C.competitive_analysis_from_business(tables.business, profiles).persist(), profiles
+
+
+def test_both_forms_of_the_analysis_agree(tables, analysis):
+    fused, profiles = analysis
+    assert same(fused, C.competitive_analysis(profiles, C.competitor_mappings(tables.business)))
+
+
+def test_rivals_without_profile_use_up_places(make_business, make_reviews):
+    business = make_business({}, {}, {}, {})
+    reviews = make_reviews(*[{"business_id": b} for b in ("b000", "b002", "b003")])
+    profiles = C.business_profiles(business, reviews)
+    fused = C.competitive_analysis_from_business(business, profiles, max_competitors=2)
+    assert same(fused, C.competitive_analysis(profiles, C.competitor_mappings(business, 2)))
+    pairs = {(r["target_business_id"], r["competitor_business_id"]) for r in rows(fused)}
+    assert pairs == {("b000", "b002"), ("b002", "b000"), ("b003", "b000")}
+
+
+def test_percentiles_and_position(analysis):
+    fused, _ = analysis
+    assert fused.filter("not (rating_percentile between 0 and 100 and popularity_percentile between 0 and 100)").isEmpty()
+    limits = fused.groupBy("market_position").agg(F.min("avg_percentile").alias("lo"), F.max("avg_percentile").alias("hi"))
+    for r in rows(limits):
+        low = {"Leader du marché": 80, "Bien positionné": 60, "Position moyenne": 40, "À améliorer": 0}[r["market_position"]]
+        assert low <= r["lo"] and r["hi"] <= {80: 100, 60: 79.9, 40: 59.9, 0: 39.9}[low]
+
+
+def test_label_text_layouts(spark):
+    flags = list(itertools.product([True, False], repeat=3))
+    df = spark.createDataFrame(flags, "a boolean, b boolean, c boolean")
+    text = label_text((F.col("a"), "A"), (F.col("b"), "B"), (F.col("c"), "C"))
+    found = {(r["a"], r["b"], r["c"]): (r["t"], r["l"])
+             for r in df.select("*", text.alias("t")).select("*", label_list(F.col("t")).alias("l")).collect()}
+    assert {k: v[0] for k, v in found.items()} == {
+        (True, True, True): "A, B, C", (True, True, False): "A, B", (True, False, True): "A, , C",
+        (True, False, False): "A, ", (False, True, True): "B, C", (False, True, False): "B",
+        (False, False, True): ", C", (False, False, False): ""}
+    for key, (_, labels) in found.items():
+        assert labels == [name for on, name in zip(key, "ABC") if on]
+
+
+def test_detailed_comparison_ties(analysis):
+    fused, _ = analysis
+    top = C.detailed_comparisons(fused)
+    assert top.groupBy("target_business_id").count().filter("count > 10").isEmpty()
+    order = W.partitionBy("target_business_id").orderBy("competitor_rank")
+    wrong = top.withColumn("previous", F.lag("competitor_average_rating").over(order)).filter(
+        "previous < competitor_average_rating")
+    assert wrong.isEmpty()
+
+
+def test_market_shares_sum_up(analysis):
+    fused, _ = analysis
+    shares = C.market_shares(fused, min_market=1)
+    sums = shares.groupBy("target_city", "target_state", "target_category").agg(
+        F.sum("market_share_pct").alias("pct"), F.sum("target_total_reviews").alias("n"),
+        F.max("total_market_reviews").alias("total"))
+    assert sums.filter("abs(pct - 100) > 0.5 or n <> total").isEmpty()
+    assert C.market_shares(fused).filter("total_market_reviews < 100").isEmpty()
+
+
+INSIGHT_COLUMNS = """rating_percentile double, popularity_percentile double, same_city_competitors long,
+    total_competitors long, target_average_rating double, avg_competitor_rating double, target_total_reviews long,
+    avg_competitor_reviews double"""
+
+
+@pytest.mark.parametrize("values, expected", [
+    ((70.0, 70.0, 50, 50, 3.0, 3.0, 1, 9.0), ("Leader du marché avec excellence sur tous les fronts",
+     "Maintenir les standards et surveiller la concurrence", "Aucun avantage concurrentiel majeur identifié")),
+    ((70.0, 49.9, 50, 50, 3.6, 3.0, 1, 9.0), ("Excellente qualité mais manque de visibilité",
+     "Priorité: Augmenter la visibilité et encourager les avis clients", "Avantage qualité significatif")),
+    ((49.9, 70.0, 50, 50, 3.0, 3.0, 19, 9.0), ("Forte visibilité mais qualité à améliorer",
+     "Priorité: Améliorer la satisfaction client et la qualité du service", "Avantage popularité significatif")),
+    ((60.0, 60.0, 2, 10, 3.0, 3.0, 1, 9.0), ("Avantage concurrentiel géographique",
+     "Opportunité: Dominer le marché local", "Avantage géographique")),
+    ((60.0, 60.0, 20, 31, 3.5, 3.0, 18, 9.0), ("Marché très concurrentiel",
+     "Maintenir les standards et surveiller la concurrence", "Aucun avantage concurrentiel majeur identifié")),
+    ((60.0, 60.0, 20, 30, 3.0, 3.0, 1, 9.0), ("Position à consolider",
+     "Maintenir les standards et surveiller la concurrence", "Aucun avantage concurrentiel majeur identifié")),
+])
+def test_insight_rules(spark, values, expected):
+    row, = rows(C.competitive_insights(spark.createDataFrame([values], INSIGHT_COLUMNS)))
+    assert (row["primary_insight"], row["recommended_action"], row["competitive_advantage"]) == expected
