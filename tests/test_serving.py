@@ -1,0 +1,118 @@
+import re
+from collections import Counter
+
+import pytest
+from pyspark.sql import functions as F
+
+from ratinglens import fixed_values as V
+from ratinglens.functions.words import stop_words
+from ratinglens.operators import serving as S
+from ratinglens.sources.order_tables import read_review_texts
+
+from .conftest import SMALL, rows
+
+POSITION_DDL = """target_business_id string, target_average_rating double, rating_percentile double,
+    popularity_percentile double, same_city_competitors long, best_competitor_rating double, market_position string,
+    total_competitors long, avg_competitor_rating double, avg_competitor_reviews double, strengths string,
+    weaknesses string"""
+
+
+@pytest.fixture
+def positions(spark):
+    return spark.createDataFrame([
+        ("low", 3.0, 20.0, 49.9, 2, 3.6, "p", 9, 3.1, 8.0, "", "A, , C"),
+        ("mid", 3.0, 50.0, 62.5, 3, 3.5, "p", 9, 3.1, 8.0, "A, ", ""),
+        ("top", 5.0, 70.0, 100.0, 9, 4.0, "p", 9, 3.1, 8.0, ", C", "B"),
+        ("none", 5.0, 70.0, 100.0, 9, 0.0, "p", 9, 3.1, 8.0, "", ""),
+    ], POSITION_DDL)
+
+
+def by_id(df):
+    return {r["business_id"]: r for r in rows(df)}
+
+
+def test_action_plan(positions):
+    found = by_id(S.action_plan(positions))
+    assert found["low"]["actions"] == [V.PLAN_QUALITY, V.PLAN_NEGATIVE, V.PLAN_VISIBILITY, V.PLAN_LOCAL_MARKETING,
+                                       V.PLAN_GEOGRAPHY, V.PLAN_LEADER]
+    assert found["mid"]["actions"] == [V.PLAN_OTHERWISE]   # exactly half a star behind is not behind
+
+
+def test_status_tiers(positions):
+    found = by_id(S.status_tiers(positions))
+    assert found["low"]["rating_tier"] == "Marge d'amélioration" and found["low"]["popularity_shown"] == 50
+    assert found["mid"]["rating_tier"] == "Position correcte" and found["mid"]["popularity_shown"] == 62
+    assert found["top"]["popularity_tier"] == "Forte visibilité" and found["top"]["rating_shown"] == 70
+
+
+def test_leader_gap(positions):
+    found = {k: (r["gap"], r["gap_label"]) for k, r in by_id(S.leader_gap(positions)).items()}
+    assert found == {"low": (0.6, V.GAP_BEHIND), "mid": (0.5, V.GAP_BEHIND), "top": (1.0, V.GAP_AHEAD)}
+
+
+def test_positioning_lookup_defaults(spark, positions):
+    ids = spark.createDataFrame([("low",), ("unknown",)], "business_id string")
+    found = by_id(S.positioning_lookup(ids, positions))
+    assert found["low"]["weaknesses_list"] == ["A", "C"] and found["low"]["strengths_list"] == []
+    assert found["unknown"]["market_position"] == V.POSITION_UNKNOWN
+    assert (found["unknown"]["rating_percentile"], found["unknown"]["strengths_list"]) == (0.0, [])
+
+
+def test_rating_map_adds_half_stars(spark):
+    counts = spark.createDataFrame([("b", 3, 1), ("b", 3, 2), ("b", 5, 4)], "business_id string, rating int, count long")
+    assert rows(S.rating_map(counts)) == [{"business_id": "b", "distribution": {3: 3, 5: 4}}]
+
+
+@pytest.mark.parametrize("means, trend", [
+    ([3.0, 3.0], "stable"), ([3.0, 3.0, 3.0, 3.6], "stable"), ([3.0, 3.0, 3.0, 3.61], "amélioration"),
+    ([4.0, 3.0, 3.0, 3.0], "dégradation"), ([None, 3.0, 3.0, 4.0], "amélioration"), ([None, None, None], "stable")])
+def test_period_trend(spark, means, trend):
+    temporal = spark.createDataFrame(
+        [("b", "month", f"2020-{i + 1:02}", m) for i, m in enumerate(means)],
+        "business_id string, period_type string, period string, avg_rating double")
+    row, = rows(S.period_trend(temporal))
+    assert (row["trend"], row["periods"]) == (trend, len(means))
+
+
+def test_directory_and_card(spark):
+    overview = spark.createDataFrame(
+        [("b1", "N", "A", "C", "S", "x", 1, 5, 3.2, 3.7, "d"), ("b2", "N", None, None, "S", "x", 0, 5, 3.2, 3.2, "d")],
+        """business_id string, name string, address string, city string, state string, categories string, is_open int,
+        total_reviews long, average_rating double, recent_average double, last_review_date string""")
+    names = by_id(S.business_directory(overview))
+    assert (names["b1"]["display_name"], names["b2"]["display_name"]) == ("N (C, S)", None)
+    cards = by_id(S.business_card(overview))
+    assert (cards["b1"]["full_address"], cards["b1"]["recent_change"], cards["b1"]["is_open"]) == ("A, C, S", 0.5, True)
+    assert (cards["b2"]["recent_change"], cards["b2"]["status"]) == (None, V.STATUS_CLOSED)
+
+
+def test_short_names(spark):
+    df = spark.createDataFrame([("x" * 20,), ("é" * 21,)], "target_name string")
+    assert sorted(r["short_name"] for r in rows(S.short_names(df))) == ["x" * 20, "é" * 20 + "..."]
+
+
+def test_texts_of_one_business(make_reviews):
+    reviews = make_reviews({"text": "a"}, {"text": ""}, {"text": None}, {"business_id": "o'ther", "text": "b"})
+    assert S.review_texts(reviews).count() == 2
+    assert [r["text"] for r in rows(S.review_texts(reviews, "o'ther"))] == ["b"]
+
+
+def test_words_against_plain_python(spark):
+    texts = read_review_texts(spark, SMALL)
+    by_business, expected = {}, set()
+    for r in texts.collect():
+        by_business.setdefault(r["business_id"], []).append(r["text"])
+    for business, parts in by_business.items():
+        text = re.sub(r"\s+", " ", re.sub(r"[^a-zA-ZÀ-ÿ\s]", " ", " ".join(parts).lower())).strip()
+        counts = Counter(w for w in text.split(" ") if len(w) >= 2 and w not in set(stop_words()))
+        ranked = sorted(counts.items(), key=lambda c: (-c[1], c[0].encode()))[:100]
+        expected |= {(business, word, uses, i + 1) for i, (word, uses) in enumerate(ranked)}
+    assert {tuple(r) for r in S.word_counts(texts).collect()} == expected
+
+
+def test_short_texts_have_no_words(make_reviews):
+    reviews = make_reviews({"business_id": "nine", "text": "hi, Zürich"[:9]}, {"business_id": "ten", "text": "aaaa"},
+                           {"business_id": "ten", "text": "1 bbbbb 2"}, {"business_id": "digits", "text": "12345 67890 !!"})
+    found = rows(S.word_counts(reviews))
+    assert {(r["business_id"], r["word"]) for r in found} == {("ten", "aaaa"), ("ten", "bbbbb")}
+    assert S.word_counts(reviews, base_stop_words=["aaaa"]).count() == 1
