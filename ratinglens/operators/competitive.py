@@ -266,7 +266,8 @@ def market_shares(analysis: DataFrame, min_market: int = V.MIN_MARKET_REVIEWS) -
     """Share of reviews per business within its (city, state, category), for markets of some size.
 
     The totals are combined on the map side and joined back, so a market with a large part of all businesses
-    is never gathered in one task, as a window over it would.
+    is never gathered in one task, as a window over it would. The pairs are read twice, once for each side: persist
+    or store them first unless they are a stored table already.
     """
     market = ["target_city", "target_state", "target_category"]
     as_target = analysis.select(*market, "target_business_id", "target_name", "target_total_reviews")

@@ -43,6 +43,11 @@ def _analysis(t: ReviewTables) -> DataFrame:
     return C.competitive_analysis_from_business(t.business, _profiles(t))
 
 
+def _market_shares(t: ReviewTables) -> DataFrame:
+    """Market shares read the pairs for both sides of each pair."""
+    return C.market_shares(_shared(_analysis(t)))
+
+
 def _positioning(t: ReviewTables) -> DataFrame:
     return C.market_positioning(_analysis(t))
 
@@ -145,7 +150,7 @@ def a11_detailed_comparisons(spark, folder):
 
 @query
 def a12_market_shares(spark, folder):
-    return C.market_shares(_analysis(_tables(spark, folder)))
+    return _market_shares(_tables(spark, folder))
 
 
 @query
@@ -264,13 +269,13 @@ def d15_insight_lookup(spark, folder):
 @query
 def d16_market_view(spark, folder):
     t = _tables(spark, folder)
-    return S.market_view(_profiles(t), C.market_shares(_analysis(t)))
+    return S.market_view(_profiles(t), _market_shares(t))
 
 
 @query
 def d16_category_view(spark, folder):
     t = _tables(spark, folder)
-    return S.market_view(_profiles(t), C.market_shares(_analysis(t)), same_category=True)
+    return S.market_view(_profiles(t), _market_shares(t), same_category=True)
 
 
 @query
