@@ -4,6 +4,7 @@ import pytest
 
 import __spark_entry__ as spark_entry
 import check_oracle
+from ratinglens.plans import catalog, oracle
 
 from .conftest import SMALL
 
@@ -14,10 +15,10 @@ def connection():
 
 
 def test_every_query_has_sql():
-    assert set(spark_entry.queries()) == set(spark_entry.oracle_sql())
+    assert set(catalog.QUERIES) == set(oracle.oracle_sql())
 
 
-@pytest.mark.parametrize("name", sorted(spark_entry.queries()))
+@pytest.mark.parametrize("name", sorted(catalog.QUERIES))
 def test_query_equals_sql(spark, connection, name):
     problem, count, _, _ = check_oracle.compare(spark, connection, SMALL, name)
     assert problem is None
