@@ -111,10 +111,10 @@ def _secrets_sql() -> str:
     one = lambda rule, order: f"""
         select doc_id, {order} as kind_order, {q(rule.kind)} as kind, start, start + long as stop from (
             select doc_id, counted[i] as counted, length(hits[i]) as long,
-                list_sum(list_transform(gaps[:i], x -> length(x))) + coalesce(list_sum(list_transform(hits[:i - 1], x -> length(x))), 0) as start
+                list_sum(list_transform(gaps[:i], lambda x: length(x))) + coalesce(list_sum(list_transform(hits[:i - 1], lambda x: length(x))), 0) as start
             from (select doc_id, hits, gaps, counted, unnest(range(1, len(hits) + 1)) as i from (
                 select doc_id, regexp_extract_all(text, {q(rule.pattern)}) as hits, string_split_regex(text, {q(rule.pattern)}) as gaps,
-                    list_transform(regexp_extract_all(text, {q(rule.pattern)}, {rule.group}), x -> length(x)) as counted
+                    list_transform(regexp_extract_all(text, {q(rule.pattern)}, {rule.group}), lambda x: length(x)) as counted
                 from docs where regexp_matches(text, {q(rule.pattern)})))) where counted >= {rule.min_length}"""
     spans = " union all ".join(one(rule, order) for order, rule in enumerate(secret_scan.RULES))
     base = len(secret_scan.BASE_RULES)
@@ -137,14 +137,14 @@ SQL = {
             where regexp_matches(line, '[^\x20\x09-\x0D]') group by source, line, host_pages having count(*) >= 5 and count(*) > host_pages * 0.1),
         lists as (select source, list(line) as dropped from dropped group by source),
         split as (select doc_id, d.source, text, string_split(text, chr(10)) as lines,
-            list_filter(string_split(text, chr(10)), x -> not list_contains(coalesce(dropped, []), x)) as kept
+            list_filter(string_split(text, chr(10)), lambda x: not list_contains(coalesce(dropped, []), x)) as kept
             from documents d left join lists using (source)),
-        judged as (select *, len(list_filter(kept, x -> regexp_matches(x, '[^\x20\x09-\x0D]'))) = 0 as whole from split)
+        judged as (select *, len(list_filter(kept, lambda x: regexp_matches(x, '[^\x20\x09-\x0D]'))) = 0 as whole from split)
         select doc_id, source, coalesce(len(lines), 0) as n_lines, case when whole or lines is null then 0 else len(lines) - len(kept) end as n_dropped,
             case when whole then text else array_to_string(kept, chr(10)) end as text from judged""",
     "op10_quality_rules": rf"""with docs as (select doc_id, source, coalesce(text, '') as text from documents),
-        split as (select *, list_filter(string_split_regex(text, '{_SPACE}'), x -> x <> '') as words,
-            list_filter(string_split(text, chr(10)), x -> regexp_matches(x, '[^\x20\x09-\x0D]')) as lines from docs),
+        split as (select *, list_filter(string_split_regex(text, '{_SPACE}'), lambda x: x <> '') as words,
+            list_filter(string_split(text, chr(10)), lambda x: regexp_matches(x, '[^\x20\x09-\x0D]')) as lines from docs),
         windows as (select doc_id, i, list_slice(words, i, i + 2) as three from (
             select doc_id, words, unnest(range(1, len(words) - 1)) as i from split)),
         again as (select doc_id, i from windows qualify count(*) over (partition by doc_id, three) > 1),
