@@ -17,6 +17,7 @@ from ..sources.topics import to_messages
 
 STORED_BEFORE = "2000-01-01"   # reviews before that day count as stored already
 SENT_BATCHES = 10              # batches that count as sent already
+SLICED_BATCH = 3               # the batch that in04 returns
 
 QUERIES = {}                   # name -> (spark, folder) -> DataFrame
 
@@ -56,8 +57,8 @@ def _comparisons(t: ReviewTables) -> DataFrame:
     return C.detailed_comparisons(_analysis(t))
 
 
-def _numbered(spark: SparkSession, folder: str, columns=("review_id", "date")) -> DataFrame:
-    return I.number_by_date(read_reviews(spark, folder).select(*columns))
+def _numbered(spark: SparkSession, folder: str) -> DataFrame:
+    return I.number_by_date(read_reviews(spark, folder))
 
 
 def _list_text(column: str):
@@ -330,6 +331,11 @@ def in03_batch_count(spark, folder):
 
 @query
 def in04_batch_slice(spark, folder):
+    return I.batch_slice(_numbered(spark, folder), SLICED_BATCH).select("review_id", "date", "id_date")
+
+
+@query
+def in04_batch_bounds(spark, folder):
     return I.batch_bounds(I.with_batch_id(_numbered(spark, folder)))
 
 
@@ -373,13 +379,13 @@ def in10_all_reviews(spark, folder):
 @query
 def in12_active_business(spark, folder):
     t = _tables(spark, folder)
-    return I.active_dimension(t.business, _stored(t.reviews), "business_id")
+    return I.active_dimension(t.business, t.reviews, "business_id")
 
 
 @query
 def in12_active_users(spark, folder):
     t = _tables(spark, folder)
-    return I.active_dimension(t.users, _stored(t.reviews), "user_id")
+    return I.active_dimension(t.users, t.reviews, "user_id")
 
 
 @query

@@ -10,7 +10,7 @@ from .. import fixed_values as V
 from ..functions.words import stop_words
 from ..schemas import RESULT_TABLES
 from ..sources.order_tables import AS_OF
-from .catalog import SENT_BATCHES, STORED_BEFORE
+from .catalog import SENT_BATCHES, SLICED_BATCH, STORED_BEFORE
 
 
 def rounded(expression: str, digits: int) -> str:
@@ -465,7 +465,8 @@ SELECTS = {
     "in01_id_date": "select review_id, date, id_date from numbered",
     "in02_batch_id": "select review_id, id_date, batch_id from batched",
     "in03_batch_count": "select count(distinct batch_id) as batches from batched",
-    "in04_batch_slice": """
+    "in04_batch_slice": f"select review_id, date, id_date from batched where batch_id = {SLICED_BATCH}",
+    "in04_batch_bounds": """
         select batch_id, min(id_date) as first_id, max(id_date) as last_id, count(*) as reviews
         from batched group by 1""",
     "in05_resume": f"select review_id, id_date, batch_id from batched where batch_id >= {SENT_BATCHES}",
@@ -485,8 +486,8 @@ SELECTS = {
               from review)
         where place = 1""",
     "in10_all_reviews": "select review_id, business_id, user_id, date from review",
-    "in12_active_business": "select * from business where business_id in (select business_id from stored)",
-    "in12_active_users": "select * from users where user_id in (select user_id from stored)",
+    "in12_active_business": "select * from business where business_id in (select business_id from review)",
+    "in12_active_users": "select * from users where user_id in (select user_id from review)",
     "in14_active_business": f"""
         select * from business where categories is not null and business_id in (
             select business_id from review group by 1 having count(*) >= {V.MIN_ACTIVE_REVIEWS})""",

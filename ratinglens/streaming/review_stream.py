@@ -30,13 +30,12 @@ class ReviewIngest:
 
     def process(self, messages: DataFrame, batch_id: int) -> None:
         """Stores the new reviews of a batch. A repeated batch compares against all other batches and replaces
-        its own output, so nothing is lost or stored twice."""
+        its own output, so nothing is lost or stored twice. A refresh that is due follows an empty batch, too."""
         parsed = parse_messages(messages).persist(StorageLevel.MEMORY_AND_DISK)
         try:
-            if parsed.isEmpty():
-                return
-            new = new_reviews(accepted(parsed), self.store.reviews_besides(batch_id))
-            self.store.write_batch(new, rejected(parsed), batch_id)
+            if not parsed.isEmpty():
+                new = new_reviews(accepted(parsed), self.store.reviews_besides(batch_id))
+                self.store.write_batch(new, rejected(parsed), batch_id)
         finally:
             parsed.unpersist()
         if self.refresh_every and (batch_id + 1) % self.refresh_every == 0:

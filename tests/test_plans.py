@@ -27,8 +27,8 @@ def plan(df, run=False):
     return df._jdf.queryExecution().executedPlan().toString().split("== Initial Plan ==")[0]
 
 
-def test_profiles_scan_once_and_only_their_columns(stored, tables):
-    text = plan(C.business_profiles(tables.business, stored, AS_OF))
+def test_profiles_scan_once_and_only_their_columns(stored):
+    text = plan(C.business_profiles(read_business(stored.sparkSession, SMALL), stored, AS_OF))
     reviews, = [columns for columns in re.findall(r"FileScan parquet \[([^\]]*)\]", text) if "stars" in columns]
     assert {c.split("#")[0] for c in reviews.split(",")} == {
         "business_id", "user_id", "stars", "useful", "funny", "cool", "reviewed_at"}
