@@ -102,6 +102,7 @@ COMPETITOR_TABLE_HEADINGS = {
 
 # --- fixed values: word cleaning ------------------------------------------------------------------
 NON_LETTER_RUN = "[^a-zA-ZÀ-ÿ]+"
+NON_LETTER_OR_SPACE = r"[^a-zA-ZÀ-ÿ\s]"
 MIN_WORD_LETTERS = 2
 # words of the review domain that are never counted
 DOMAIN_STOP_WORDS = """

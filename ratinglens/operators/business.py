@@ -159,7 +159,8 @@ def reviewer_activity(users: DataFrame, reviews: DataFrame) -> DataFrame:
         F.count("*").alias("review_count"),
         F.sum("useful").alias("useful_votes"),
     )
-    return pairs.join(users.select("user_id", "name", "elite"), "user_id")
+    one_each = users.groupBy("user_id").agg(F.min(F.struct("name", "elite")).alias("user"))
+    return pairs.join(one_each.select("user_id", "user.name", "user.elite"), "user_id")
 
 
 def user_stats_from_activity(activity: DataFrame, blank_is_null: bool = False) -> DataFrame:
@@ -169,7 +170,7 @@ def user_stats_from_activity(activity: DataFrame, blank_is_null: bool = False) -
     """
     elite = F.nullif(F.trim("elite"), F.lit("")) if blank_is_null else F.col("elite")
     return activity.groupBy("business_id").agg(
-        F.countDistinct("user_id").alias("unique_users"),
+        F.count("*").alias("unique_users"),
         F.round(F.avg("review_count"), 1).alias("avg_reviews_per_user"),
         F.count_if(elite.isNotNull()).alias("elite_users_count"),
         F.max("useful_votes").alias("max_useful_votes"),

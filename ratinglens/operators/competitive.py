@@ -177,14 +177,12 @@ def competitive_analysis(profiles: DataFrame, mappings: DataFrame) -> DataFrame:
     return _percentiles(compared).select(RESULT_TABLES["competitive_analysis"])
 
 
-def competitive_analysis_from_business(
-        business: DataFrame, profiles: DataFrame, max_competitors: int = V.MAX_COMPETITORS) -> DataFrame:
-    """``competitive_analysis`` of the whole business table, in one pass over it.
+def rated_targets(business: DataFrame, profiles: DataFrame, max_competitors: int = V.MAX_COMPETITORS) -> DataFrame:
+    """One row per business with a profiled rival: its measures, percentiles, and the rivals as an array.
 
-    The profile measures travel inside the rival lists, so the percentiles are computed per row and the pair
-    table (up to 50 rows per business) is only exploded at the end: no shuffle carries pairs, and a rival listed
-    by very many businesses is no join key. The limit applies before rivals without a profile are left out, as
-    with a stored mapping table.
+    The profile measures travel inside the rival lists, so everything that concerns a business and its rivals is an
+    expression on one row: no shuffle carries pairs, and a rival listed by very many businesses is no join key. The
+    limit applies before rivals without a profile are left out, as with a stored mapping table.
     """
     measures = profiles.select("business_id", *PROFILE_MEASURES)
     members = market_members(business).join(measures, "business_id", "left")
@@ -199,7 +197,7 @@ def competitive_analysis_from_business(
         return F.size(F.filter("rivals", lambda r: r[measure] < F.col(measure))).cast("long")
 
     competitors = F.size("rivals").cast("long")
-    counted = targets.select(
+    return _percentiles(targets.select(
         *_target_columns(),
         *[F.col(m).alias(f"target_{m}") for m in ("total_reviews", "average_rating", "recent_average")],
         beaten("average_rating").alias("better_rating_count"),
@@ -207,33 +205,29 @@ def competitive_analysis_from_business(
         beaten("total_reviews").alias("better_popularity_count"),
         competitors.alias("total_competitors_popularity"),
         "rivals",
-    )
-    return (
-        _percentiles(counted)
-        .select("*", F.explode("rivals").alias("rival"))
-        .select("*", *_rival_columns(), *[F.col(f"rival.{m}").alias(f"competitor_{m}") for m in PROFILE_MEASURES])
-        .select(RESULT_TABLES["competitive_analysis"])
-    )
+    ))
 
 
-def market_positioning(analysis: DataFrame) -> DataFrame:
-    """Position of each business against its competitors, with strengths and weaknesses.
+def _with_rival(exploded: DataFrame) -> DataFrame:
+    """The columns of a pair from a target row and its struct ``rival``."""
+    return exploded.select(
+        "*", *_rival_columns(), *[F.col(f"rival.{m}").alias(f"competitor_{m}") for m in PROFILE_MEASURES])
 
-    Competitor ratings are averaged as decimals, so the result does not depend on the order of summation.
-    """
-    target = [
-        "target_business_id", "target_name", "target_city", "target_state", "target_category",
-        "target_total_reviews", "target_average_rating", "target_recent_average"]
-    constant = ["rating_percentile", "popularity_percentile", "avg_percentile", "market_position"]
-    exact_rating = F.col("competitor_average_rating").cast("decimal(10,2)")
-    positions = analysis.groupBy(*target, *constant).agg(
-        F.count("*").alias("total_competitors"),
-        F.count_if("is_same_city").alias("same_city_competitors"),
-        F.max("competitor_average_rating").alias("best_competitor_rating"),
-        F.max("competitor_total_reviews").alias("most_popular_competitor_reviews"),
-        F.round(F.avg(exact_rating), 2).cast("double").alias("avg_competitor_rating"),
-        F.round(F.avg("competitor_total_reviews"), 0).alias("avg_competitor_reviews"),
-    )
+
+def analysis_of_targets(targets: DataFrame) -> DataFrame:
+    """The pair table (up to 50 rows per business) of ``rated_targets``, exploded at the very end."""
+    return _with_rival(targets.select("*", F.explode("rivals").alias("rival"))).select(
+        RESULT_TABLES["competitive_analysis"])
+
+
+def competitive_analysis_from_business(
+        business: DataFrame, profiles: DataFrame, max_competitors: int = V.MAX_COMPETITORS) -> DataFrame:
+    """``competitive_analysis`` of the whole business table, in one pass over it."""
+    return analysis_of_targets(rated_targets(business, profiles, max_competitors))
+
+
+def _with_labels(positions: DataFrame) -> DataFrame:
+    """Strengths and weaknesses of each position."""
     rating, popularity = F.col("rating_percentile"), F.col("popularity_percentile")
     local = F.col("same_city_competitors")
     return positions.select(
@@ -251,6 +245,45 @@ def market_positioning(analysis: DataFrame) -> DataFrame:
     ).select(RESULT_TABLES["market_positioning"])
 
 
+def market_positioning(analysis: DataFrame) -> DataFrame:
+    """Position of each business against its competitors, from a table of pairs.
+
+    Competitor ratings are averaged as decimals, so the result does not depend on the order of summation.
+    ``positioning_of_targets`` gives the same table without pairs.
+    """
+    target = [
+        "target_business_id", "target_name", "target_city", "target_state", "target_category",
+        "target_total_reviews", "target_average_rating", "target_recent_average"]
+    constant = ["rating_percentile", "popularity_percentile", "avg_percentile", "market_position"]
+    exact_rating = F.col("competitor_average_rating").cast("decimal(10,2)")
+    return _with_labels(analysis.groupBy(*target, *constant).agg(
+        F.count("*").alias("total_competitors"),
+        F.count_if("is_same_city").alias("same_city_competitors"),
+        F.max("competitor_average_rating").alias("best_competitor_rating"),
+        F.max("competitor_total_reviews").alias("most_popular_competitor_reviews"),
+        F.round(F.avg(exact_rating), 2).cast("double").alias("avg_competitor_rating"),
+        F.round(F.avg("competitor_total_reviews"), 0).alias("avg_competitor_reviews"),
+    ))
+
+
+def positioning_of_targets(targets: DataFrame) -> DataFrame:
+    """Position of each business of ``rated_targets``, computed on its array of rivals without a shuffle."""
+    ratings = F.filter(F.transform("rivals", lambda r: r["average_rating"]), lambda v: v.isNotNull())
+    exact = F.aggregate(ratings, F.lit(0).cast("decimal(20,2)"),
+                        lambda total, v: (total + v.cast("decimal(10,2)")).cast("decimal(20,2)"))
+    mean_rating = F.try_divide(exact, F.size(ratings).cast("decimal(20,0)")).cast("decimal(14,6)")
+    reviews = F.aggregate("rivals", F.lit(0).cast("long"), lambda total, r: total + r["total_reviews"])
+    return _with_labels(targets.select(
+        "*",
+        F.col("total_competitors_rating").alias("total_competitors"),
+        F.size(F.filter("rivals", lambda r: r["is_same_city"])).cast("long").alias("same_city_competitors"),
+        F.array_max(ratings).alias("best_competitor_rating"),
+        F.array_max(F.transform("rivals", lambda r: r["total_reviews"])).alias("most_popular_competitor_reviews"),
+        F.round(mean_rating, 2).cast("double").alias("avg_competitor_rating"),
+        F.round(reviews / F.size("rivals"), 0).alias("avg_competitor_reviews"),
+    ))
+
+
 def detailed_comparisons(analysis: DataFrame, k: int = V.COMPARED_COMPETITORS) -> DataFrame:
     """The k best rated competitors per business; ties go by review count, then by competitor id."""
     best = W.partitionBy("target_business_id").orderBy(
@@ -262,16 +295,26 @@ def detailed_comparisons(analysis: DataFrame, k: int = V.COMPARED_COMPETITORS) -
     )
 
 
-def market_shares(analysis: DataFrame, min_market: int = V.MIN_MARKET_REVIEWS) -> DataFrame:
-    """Share of reviews per business within its (city, state, category), for markets of some size.
+def comparisons_of_targets(targets: DataFrame, k: int = V.COMPARED_COMPETITORS) -> DataFrame:
+    """``detailed_comparisons`` of ``rated_targets``: each array of rivals is ranked in place."""
+    worst = F.lit(float("inf"))     # a rival without a rating comes last
+    ranked = F.sort_array(F.transform("rivals", lambda r: F.struct(
+        F.coalesce(-r["average_rating"], worst).alias("by_rating"), (-r["total_reviews"]).alias("by_reviews"),
+        r["business_id"].alias("by_id"), r.alias("rival"))))
+    best = targets.select("*", F.posexplode(F.slice(ranked, 1, k)).alias("place", "ranked"))
+    return (
+        _with_rival(best.withColumn("rival", F.col("ranked.rival")))
+        .withColumn("competitor_rank", F.col("place") + 1)
+        .select(RESULT_TABLES["detailed_comparisons"])
+    )
 
-    The totals are combined on the map side and joined back, so a market with a large part of all businesses
-    is never gathered in one task, as a window over it would. The pairs are read twice, once for each side: persist
-    or store them first unless they are a stored table already.
-    """
-    market = ["target_city", "target_state", "target_category"]
-    as_target = analysis.select(*market, "target_business_id", "target_name", "target_total_reviews")
-    as_competitor = analysis.select(
+
+MARKET_OF_TARGET = ["target_city", "target_state", "target_category"]
+
+
+def _as_members(rivals: DataFrame) -> DataFrame:
+    """The competitor of each pair as a member of its own market."""
+    return rivals.select(
         F.col("competitor_city").alias("target_city"),
         F.col("competitor_state").alias("target_state"),
         "target_category",
@@ -279,18 +322,46 @@ def market_shares(analysis: DataFrame, min_market: int = V.MIN_MARKET_REVIEWS) -
         F.col("competitor_name").alias("target_name"),
         F.col("competitor_total_reviews").alias("target_total_reviews"),
     )
+
+
+def _shares(as_target: DataFrame, as_competitor: DataFrame, min_market: int) -> DataFrame:
+    """Shares of the distinct members. The totals are combined on the map side and joined back, so a market with a
+    large part of all businesses is never gathered in one task, as a window over it would."""
+    as_target = as_target.select(*MARKET_OF_TARGET, "target_business_id", "target_name", "target_total_reviews")
     members = as_target.unionByName(as_competitor).filter(F.col("target_city").isNotNull()).distinct()
     totals = (
-        members.groupBy(*market).agg(F.sum("target_total_reviews").alias("total_market_reviews"))
+        members.groupBy(*MARKET_OF_TARGET).agg(F.sum("target_total_reviews").alias("total_market_reviews"))
         .filter(F.col("total_market_reviews") >= min_market)
     )
     share = percent(F.col("target_total_reviews"), F.col("total_market_reviews"), 2)
     return (
-        members.join(totals, market).withColumn("market_share_pct", share)
+        members.join(totals, MARKET_OF_TARGET).withColumn("market_share_pct", share)
         .select(RESULT_TABLES["market_shares"])
     )
 
 
+def market_shares(analysis: DataFrame, min_market: int = V.MIN_MARKET_REVIEWS) -> DataFrame:
+    """Share of reviews per business within its (city, state, category), for markets of some size.
+
+    Works on a stored table of pairs, which is read once for each side of a pair. ``shares_of_targets`` gives the
+    same table without pairs.
+    """
+    return _shares(analysis, _as_members(analysis), min_market)
+
+
+def shares_of_targets(targets: DataFrame, min_market: int = V.MIN_MARKET_REVIEWS) -> DataFrame:
+    """``market_shares`` of ``rated_targets``.
+
+    The businesses of one (category, state, city) share one list of depth+1 rivals, each leaving itself out. So the
+    rivals of the first two targets by rank hold everybody that any of them lists: a rival among the first depth
+    places is listed by all but itself, hence by one of the two; the one after them only by targets that stand among
+    the first depth places, and then the first target does. At most two rows a list are exploded.
+    """
+    by_rank = W.partitionBy(*MARKET_OF_TARGET).orderBy(F.asc_nulls_first("target_name"), F.asc("target_business_id"))
+    two = targets.withColumn("place", F.row_number().over(by_rank)).filter(F.col("place") <= 2)
+    return _shares(targets, _as_members(_with_rival(two.select("*", F.explode("rivals").alias("rival")))), min_market)
+
+
 def competitive_insights(positioning: DataFrame) -> DataFrame:
     """Positioning plus the main insight, the recommended action and the competitive advantage."""
     rating, popularity = F.col("rating_percentile"), F.col("popularity_percentile")

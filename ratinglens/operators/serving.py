@@ -116,9 +116,11 @@ def word_counts(reviews: DataFrame, k: int = V.TOP_WORDS, base_stop_words=None)
     """The k most used words per business, without stop words; ties go alphabetically.
 
     Words are counted on the map side, and the length of a business's cleaned text is added up from those counts, so
-    no text is ever joined together. Businesses with hardly any text have no list. Both uses of the counts are kept the
-    same, so that Spark reuses their shuffle and the texts are read once: stop words are ranked last rather than filtered
-    out early, and the length comes back by an inner join, as a semi join would move below the counting.
+    no text is ever joined together. Businesses with hardly any text have no list. The words are ranked before the
+    lengths are joined in: each task keeps k words per business before the shuffle, so a business's vocabulary is
+    never gathered. Both uses of the counts are kept the same, so that Spark reuses their shuffle and the texts are
+    read once: stop words are ranked last rather than filtered out early, and the length comes back by an inner join,
+    as a semi join would move below the counting.
     """
     counts = (
         review_texts(reviews)
@@ -131,10 +133,12 @@ def word_counts(reviews: DataFrame, k: int = V.TOP_WORDS, base_stop_words=None)
     lengths = counts.groupBy("business_id").agg(text_length.alias("chars"))
     listed = (F.length("word") >= V.MIN_WORD_LETTERS) & ~F.col("word").isin(stop_words(base_stop_words))
     by_use = W.partitionBy("business_id").orderBy(F.desc("listed"), F.desc("uses"), "word")
-    return (
-        counts.join(lengths.filter(F.col("chars") >= V.MIN_CLOUD_CHARS), "business_id")
-        .withColumn("listed", listed)
+    ranked = (
+        counts.withColumn("listed", listed)
         .withColumn("rank", F.row_number().over(by_use)).filter((F.col("rank") <= k) & F.col("listed"))
+    )
+    return (
+        ranked.join(lengths.filter(F.col("chars") >= V.MIN_CLOUD_CHARS), "business_id")
         .select("business_id", "word", "uses", "rank")
     )
 
@@ -221,7 +225,11 @@ def market_view(profiles: DataFrame, shares: DataFrame, rows: int = V.MARKET_VIE
 
     The market of the view is the city, whatever the category, unless ``same_category`` is set. Rows come by category,
     largest share first, and the total is that of the first row. Each market is cut to ``rows`` before it is joined.
+    Shares that were just joined with their market's total lie together by market; for the view by category they are
+    dealt out by business first, so that each task cuts its part of a market before the market meets.
     """
+    if same_category:
+        shares = shares.repartition("target_business_id")
     market = ["target_city", "target_state"] + (["target_category"] if same_category else [])
     order = W.partitionBy(*market).orderBy(
         "target_category", F.desc("market_share_pct"), F.asc("target_business_id"))

@@ -14,9 +14,11 @@ from ..operators import serving as S
 from ..schemas import RESULT_TABLES
 from ..sources.order_tables import AS_OF, ReviewTables, read_review_tables, read_review_texts, read_reviews
 from ..sources.topics import to_messages
+from .analytics import run_all, run_touched
 
 STORED_BEFORE = "2000-01-01"   # reviews before that day count as stored already
 SENT_BATCHES = 10              # batches that count as sent already
+LATE_SINCE = "2001-10-20"      # reviews from that day on come in after the result tables were made
 SLICED_BATCH = 3               # the batch that in04 returns
 
 QUERIES = {}                   # name -> (spark, folder) -> DataFrame
@@ -40,21 +42,24 @@ def _profiles(t: ReviewTables) -> DataFrame:
     return _shared(C.business_profiles(t.business, t.reviews, AS_OF))
 
 
+def _targets(t: ReviewTables) -> DataFrame:
+    return C.rated_targets(t.business, _profiles(t))
+
+
 def _analysis(t: ReviewTables) -> DataFrame:
-    return C.competitive_analysis_from_business(t.business, _profiles(t))
+    return C.analysis_of_targets(_targets(t))
 
 
 def _market_shares(t: ReviewTables) -> DataFrame:
-    """Market shares read the pairs for both sides of each pair."""
-    return C.market_shares(_shared(_analysis(t)))
+    return C.shares_of_targets(_targets(t))
 
 
 def _positioning(t: ReviewTables) -> DataFrame:
-    return C.market_positioning(_analysis(t))
+    return C.positioning_of_targets(_targets(t))
 
 
 def _comparisons(t: ReviewTables) -> DataFrame:
-    return C.detailed_comparisons(_analysis(t))
+    return C.comparisons_of_targets(_targets(t))
 
 
 def _numbered(spark: SparkSession, folder: str) -> DataFrame:
@@ -388,6 +393,34 @@ def in12_active_users(spark, folder):
     return I.active_dimension(t.users, t.reviews, "user_id")
 
 
+def _late(reviews: DataFrame) -> DataFrame:
+    return reviews.filter(F.col("reviewed_at") >= F.lit(LATE_SINCE).cast("timestamp_ntz"))
+
+
+def _after_late_reviews(spark: SparkSession, folder: str) -> dict:
+    """All result tables: those of the earlier reviews, brought up to date with the late ones."""
+    t = _tables(spark, folder)
+    late = _late(t.reviews)
+    earlier = run_all(t.business, t.users, t.reviews.filter(
+        F.col("reviewed_at") < F.lit(LATE_SINCE).cast("timestamp_ntz")), AS_OF)
+    return run_touched(earlier.tables, late.select("business_id"), t.business, t.users, t.reviews, AS_OF).tables
+
+
+@query
+def in15_incremental_profiles(spark, folder):
+    return _after_late_reviews(spark, folder)["business_profiles"]
+
+
+@query
+def in15_incremental_insights(spark, folder):
+    return _after_late_reviews(spark, folder)["competitive_insights"]
+
+
+@query
+def in15_incremental_comparisons(spark, folder):
+    return _after_late_reviews(spark, folder)["detailed_comparisons"]
+
+
 @query
 def in14_active_business(spark, folder):
     t = _tables(spark, folder)

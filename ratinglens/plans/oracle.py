@@ -39,7 +39,6 @@ def columns(table: str) -> str:
     return ", ".join(RESULT_TABLES[table])
 
 
-NON_LETTERS = r"[^a-zA-ZÀ-ÿ\s]"
 DATE_LAYOUT = "%Y-%m-%d %H:%M:%S"
 STARS = (1, 2, 3, 4, 5)
 RECENT = f"reviewed_at >= cast(DATE '{AS_OF}' - INTERVAL {V.RECENT_DAYS} DAY as timestamp)"
@@ -282,7 +281,7 @@ BLOCKS = {
     "stored": f"select * from review where reviewed_at < TIMESTAMP '{STORED_BEFORE}'",
     "word": rf"""
         select source as business_id,
-               unnest(string_split(trim(regexp_replace(regexp_replace(lower(text), '{NON_LETTERS}', ' ', 'g'),
+               unnest(string_split(trim(regexp_replace(regexp_replace(lower(text), '{V.NON_LETTER_OR_SPACE}', ' ', 'g'),
                                                        '\s+', ' ', 'g')), ' ')) as word
         from documents where text <> ''""",
 }
@@ -488,6 +487,9 @@ SELECTS = {
     "in10_all_reviews": "select review_id, business_id, user_id, date from review",
     "in12_active_business": "select * from business where business_id in (select business_id from review)",
     "in12_active_users": "select * from users where user_id in (select user_id from review)",
+    "in15_incremental_profiles": f"select {columns('business_profiles')} from profiles",
+    "in15_incremental_insights": f"select {columns('competitive_insights')} from insights",
+    "in15_incremental_comparisons": f"select {columns('detailed_comparisons')} from comparisons",
     "in14_active_business": f"""
         select * from business where categories is not null and business_id in (
             select business_id from review group by 1 having count(*) >= {V.MIN_ACTIVE_REVIEWS})""",

@@ -1,4 +1,7 @@
-"""Input schemas and result-table columns."""
+"""Input schemas and result-table columns.
+
+Fixed values: the names, types and order below are the data contract with whoever writes dumps and reads tables.
+"""
 
 from pyspark.sql import types as T
 

@@ -38,6 +38,10 @@ class ReviewStore:
         """Reviews of the other batches; the batch's own directory is pruned from the scan."""
         return self.reviews().filter(F.col(BATCH) != batch_id)
 
+    def reviews_of(self, batch_ids) -> DataFrame:
+        """Reviews of some batches; the other directories are pruned."""
+        return self.reviews().filter(F.col(BATCH).isin(sorted(batch_ids)))
+
     def write_batch(self, new: DataFrame, rejected: DataFrame, batch_id: int) -> None:
         columns = [f.name for f in STORED_REVIEW if f.name != BATCH]
         new.select(columns).write.mode("overwrite").parquet(f"{self.root}/reviews/{BATCH}={batch_id}")

@@ -1,4 +1,5 @@
 import itertools
+from random import Random
 
 import pytest
 from hypothesis import HealthCheck, given, settings, strategies as st
@@ -7,6 +8,7 @@ from pyspark.sql import functions as F
 
 from ratinglens.functions.rules import label_list, label_text
 from ratinglens.operators import competitive as C
+from ratinglens.schemas import RESULT_TABLES
 from ratinglens.sources.order_tables import AS_OF
 
 from .conftest import rows, same
@@ -103,6 +105,31 @@ def test_rivals_without_profile_use_up_places(make_business, make_reviews):
     assert pairs == {("b000", "b002"), ("b002", "b000"), ("b003", "b000")}
 
 
+def _all_forms_agree(business, profiles, depth=50, min_market=1):
+    targets = C.rated_targets(business, profiles, depth).persist()
+    pairs = C.competitive_analysis(profiles, C.competitor_mappings(business, depth)).persist()
+    assert same(C.positioning_of_targets(targets).select(RESULT_TABLES["market_positioning"]), C.market_positioning(pairs))
+    assert same(C.comparisons_of_targets(targets), C.detailed_comparisons(pairs))
+    assert same(C.shares_of_targets(targets, min_market), C.market_shares(pairs, min_market))
+    targets.unpersist(), pairs.unpersist()
+
+
+def test_tables_of_targets_equal_those_of_pairs(tables, analysis):
+    _all_forms_agree(tables.business, analysis[1])
+
+
+@pytest.mark.parametrize("seed", range(4))
+def test_forms_agree_on_small_lists(make_business, make_reviews, seed):
+    """Lists of two: null cities and names, businesses without a profile, businesses listed by others alone."""
+    random = Random(seed)
+    business = make_business(*[{"city": random.choice(["c", "d", None]), "name": random.choice(["n", "m", "k", None]),
+                                "state": random.choice("st")} for _ in range(24)])
+    reviewed = [f"b{i:03}" for i in range(24) if random.random() < 0.6]
+    reviews = make_reviews(*[{"business_id": b, "stars": float(random.randint(1, 5))} for b in reviewed * 2],
+                           *[{"business_id": b, "stars": None} for b in reviewed[:2]])
+    _all_forms_agree(business, C.business_profiles(business, reviews, "2020-05-31").persist(), depth=2)
+
+
 def test_percentiles_and_position(analysis):
     fused, _ = analysis
     assert fused.filter("not (rating_percentile between 0 and 100 and popularity_percentile between 0 and 100)").isEmpty()

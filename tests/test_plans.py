@@ -9,7 +9,7 @@ from ratinglens.operators import business as B
 from ratinglens.operators import competitive as C
 from ratinglens.operators import ingest as I
 from ratinglens.operators import serving as S
-from ratinglens.sources.order_tables import AS_OF, read_business, read_review_texts
+from ratinglens.sources.order_tables import AS_OF, read_business, read_review_tables, read_review_texts
 
 from .conftest import SMALL
 
@@ -21,10 +21,44 @@ def stored(spark, tables, tmp_path):
     return spark.read.parquet(str(tmp_path / "reviews"))
 
 
+@pytest.fixture
+def no_broadcast(spark):
+    """Plans as they are at size."""
+    spark.conf.set("spark.sql.autoBroadcastJoinThreshold", "-1")
+    yield
+    spark.conf.unset("spark.sql.autoBroadcastJoinThreshold")
+
+
+@pytest.fixture
+def plain(spark):
+    """Tables without a persist of their own."""
+    return read_review_tables(spark, SMALL)
+
+
 def plan(df, run=False):
+    """The whole plan as it is before adaptive execution, or with ``run`` the final one of a query on files.
+
+    Before the run nothing is cut off: Spark may put a table that another test persisted in place of a scan, and such
+    a table prints both its own plans in the midst of this one.
+    """
     if run:
         df.collect()
-    return df._jdf.queryExecution().executedPlan().toString().split("== Initial Plan ==")[0]
+    text = df._jdf.queryExecution().executedPlan().toString()
+    return text.split("== Initial Plan ==")[0] if run else text
+
+
+def above(text, node):
+    """The lines from a node upwards to the root, the node's own last; the plan is printed root first."""
+    lines = text.splitlines()
+    at = next(i for i, line in enumerate(lines) if node in line)
+    depth, path = len(lines[at]), [lines[at]]
+    place = lambda line: len(line) - len(line.lstrip(" :+-*()0123456789"))
+    depth = place(lines[at])
+    for line in reversed(lines[:at]):
+        if place(line) < depth:
+            path.append(line)
+            depth = place(line)
+    return [line.strip(" :+-") for line in path]
 
 
 def test_profiles_scan_once_and_only_their_columns(stored):
@@ -46,20 +80,44 @@ def test_top_k_is_cut_before_the_shuffle(stored, tables):
     assert re.search(r"WindowGroupLimit.*Partial", text) and re.search(r"WindowGroupLimit.*Final", text)
 
 
-def test_pairs_are_not_shuffled(spark, tables):
-    spark.conf.set("spark.sql.autoBroadcastJoinThreshold", "-1")
-    try:
-        profiles = C.business_profiles(tables.business, tables.reviews, AS_OF)
-        text = plan(C.competitive_analysis_from_business(read_business(spark, SMALL), profiles))
-    finally:
-        spark.conf.unset("spark.sql.autoBroadcastJoinThreshold")
+def test_pairs_are_not_shuffled(plain, no_broadcast):
+    profiles = C.business_profiles(plain.business, plain.reviews, AS_OF)
+    text = plan(C.competitive_analysis_from_business(plain.business, profiles))
     above_explode = text.split("Generate explode(rivals")[0]
     assert "Exchange" not in above_explode and "Window" not in above_explode
 
 
-def test_nothing_is_paired_without_a_key(spark, tables):
-    text = plan(C.competitor_mappings(tables.business))
-    assert "CartesianProduct" not in text and "BroadcastNestedLoopJoin" not in text
+def test_positions_and_shares_explode_no_pairs(plain, no_broadcast):
+    targets = C.rated_targets(plain.business, C.business_profiles(plain.business, plain.reviews, AS_OF))
+    assert "Generate" not in plan(C.positioning_of_targets(targets))
+    shares = plan(C.shares_of_targets(targets))
+    assert shares.count("Generate explode(") == 1
+    below_explode = shares.split("Generate explode(")[1]
+    assert re.search(r"WindowGroupLimit \[.*row_number\(\), 2, Partial", below_explode)
+
+
+def test_nothing_is_paired_without_a_key(plain, no_broadcast):
+    text = plan(C.competitor_mappings(plain.business))
+    assert text.count("Join") >= 2
+    assert "CartesianProduct" not in text and "NestedLoopJoin" not in text
+
+
+def _cut_before_the_shuffle(text, key):
+    """Whether rows are cut in each task before the exchange by ``key`` that the window needs."""
+    path = above(text, "Partial")
+    exchange = next(i for i, line in enumerate(path) if line.startswith("Exchange"))
+    assert f"hashpartitioning({key}" in path[exchange]
+    return "WindowGroupLimit" in path[0] and any("Final" in line for line in path[exchange:])
+
+
+def test_words_are_cut_before_their_business_meets(spark, no_broadcast):
+    assert _cut_before_the_shuffle(plan(S.word_counts(read_review_texts(spark, SMALL))), "business_id")
+
+
+def test_markets_are_cut_before_they_meet(plain, no_broadcast):
+    profiles = C.business_profiles(plain.business, plain.reviews, AS_OF)
+    shares = C.market_shares(C.competitive_analysis_from_business(plain.business, profiles))
+    assert _cut_before_the_shuffle(plan(S.market_view(profiles, shares, same_category=True)), "target_city")
 
 
 def test_texts_are_read_once(spark):

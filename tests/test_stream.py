@@ -1,15 +1,23 @@
 """A stream in any number of batches ends with the tables of one batch run."""
 
+from random import Random
+
 import pytest
 from pyspark.sql import functions as F
 
 from ratinglens.operators import ingest as I
-from ratinglens.plans.analytics import run_all, write_all
+from ratinglens.plans.analytics import run_all, run_touched, write_all
 from ratinglens.schemas import RESULT_TABLES, REVIEW
 from ratinglens.sources.files import TableFolder
 from ratinglens.sources.order_tables import AS_OF
 from ratinglens.sources.topics import read_message_files, to_messages, write_message_files
-from ratinglens.streaming.review_stream import ReviewIngest, start_file_replay, start_review_stream, without_repeats
+from ratinglens.streaming.review_stream import (
+    ReviewIngest,
+    run_review_stream,
+    start_file_replay,
+    start_review_stream,
+    without_repeats,
+)
 from ratinglens.streaming.store import ReviewStore
 
 from .conftest import rows, same
@@ -67,10 +75,12 @@ def test_stream_equals_batch(spark, text_keys, tmp_path):
     assert results.read("business_table").count() == reviews.select("business_id").distinct().count()
 
 
-def test_refresh_after_batches(spark, make_reviews, make_business, tmp_path):
+@pytest.mark.parametrize("incremental", [False, True])
+def test_refresh_after_batches(spark, make_reviews, make_business, tmp_path, incremental):
     users = spark.createDataFrame([("u", "Ann", "")], "user_id string, name string, elite string")
     results = TableFolder(spark, str(tmp_path / "results"))
-    ingest = ReviewIngest(ReviewStore(spark, str(tmp_path / "store")), results, make_business({}, {}), users, "2020-02-01")
+    ingest = ReviewIngest(ReviewStore(spark, str(tmp_path / "store")), results, make_business({}, {}), users, "2020-02-01",
+                          incremental=incremental)
     ingest.process(to_messages(make_reviews().limit(0)), 0)             # an empty batch does nothing
     assert ingest.store.reviews().isEmpty() and not (tmp_path / "results").exists()
     ingest.process(to_messages(make_reviews({"business_id": "b000"}, {"business_id": "b001"})), 1)
@@ -82,6 +92,42 @@ def test_refresh_after_batches(spark, make_reviews, make_business, tmp_path):
     assert found == {"b000": 4.0, "b001": 3.0}
 
 
+def test_due_refreshes_are_not_lost(spark, make_reviews, make_business, tmp_path):
+    users = spark.createDataFrame([("u", "Ann", "")], "user_id string, name string, elite string")
+    results = TableFolder(spark, str(tmp_path / "results"))
+    ingest = ReviewIngest(ReviewStore(spark, str(tmp_path / "store")), results, make_business({}, {}), users, "2020-02-01",
+                          refresh_every=2)
+    ingest.process(to_messages(make_reviews({"business_id": "b000"})), 0)
+    assert not (tmp_path / "results").exists()
+    ingest.process(to_messages(make_reviews().limit(0)), 1)             # empty, but a refresh is due
+    assert results.read("business_overview").count() == 1
+    folder = str(tmp_path / "messages")
+    write_message_files(to_messages(make_reviews({"review_id": "x", "business_id": "b001"})), folder)
+    run_review_stream(read_message_files(spark, folder), ingest, str(tmp_path / "checkpoint"))   # batch 0 of its own
+    assert results.read("business_overview").count() == 1 and ingest.catch_up() == {}
+
+
+@pytest.mark.parametrize("seed", [1, 2])
+def test_touched_businesses_alone_give_the_whole(spark, make_reviews, make_business, seed):
+    """Any split in two, with late reviews and new businesses, brought up to date equals all at once."""
+    random = Random(seed)
+    users = spark.createDataFrame([(f"u{i}", "Ann", "2020" if i % 2 else None) for i in range(4)],
+                                  "user_id string, name string, elite string")
+    business = make_business(*[{"state": random.choice("stu"), "city": random.choice(["c", "d", None])} for _ in range(12)])
+    reviews = make_reviews(*[{
+        "business_id": f"b{random.randrange(12):03}", "user_id": f"u{random.randrange(5)}", "stars": float(random.randint(1, 5)),
+        "date": f"20{random.randint(15, 20)}-{random.randint(1, 12):02}-11 10:00:00"} for _ in range(60)],
+        {"review_id": "x", "business_id": None}, {"review_id": "r5x", "business_id": None})
+    is_late = F.col("review_id").isin([f"r{i}" for i in random.sample(range(60), 4)] + ["r5x"])
+    early, late = reviews.filter(~is_late), reviews.filter(is_late)
+    first, whole = (run_all(business, users, r, "2020-12-31") for r in (early, reviews))
+    found = run_touched(first.tables, late.select("business_id"), business, users, reviews, "2020-12-31")
+    for name in RESULT_TABLES:
+        assert same(found.tables[name], whole.tables[name]), name
+    for run in (first, whole, found):
+        run.release()
+
+
 def test_replay_resumes_from_its_checkpoint(spark, make_reviews, tmp_path):
     source, target, checkpoint = (str(tmp_path / n) for n in ("numbered", "messages", "checkpoint"))
     reviews = make_reviews({"date": "2020-01-02"}, {"date": "2020-01-01"}, {"date": "2020-01-03"})
