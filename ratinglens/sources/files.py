@@ -61,6 +61,9 @@ class TableFolder:
             df = df.orderBy(*order_by, ascending=list(order_by.values()))
         write_columnar(df, self.path(name), self.fmt)
 
+    def append(self, name: str, df: DataFrame) -> None:
+        write_columnar(df, self.path(name), self.fmt, mode="append")
+
     def register_views(self, names) -> None:
         """Temporary views over the stored tables, for ``spark.sql`` queries by name."""
         for name in names:

@@ -27,13 +27,17 @@ def write_jdbc_table(df: DataFrame, connection: dict, table: str, mode: str = "o
 
 
 class JdbcTables:
-    """Named tables in one database; takes the place of a ``TableFolder``."""
+    """Named tables in one database; takes the place of a ``TableFolder``.
 
-    def __init__(self, spark: SparkSession, connection: dict):
-        self.spark, self.connection = spark, dict(connection)
+    ``partitioning`` gives by table name the arguments of a parallel scan: partition_column, lower_bound, upper_bound
+    and num_partitions. A table that is not named there is read by one task, which only suits small ones.
+    """
+
+    def __init__(self, spark: SparkSession, connection: dict, partitioning: dict[str, dict] | None = None):
+        self.spark, self.connection, self.partitioning = spark, dict(connection), dict(partitioning or {})
 
     def read(self, name: str) -> DataFrame:
-        return read_jdbc_table(self.spark, self.connection, name)
+        return read_jdbc_table(self.spark, self.connection, name, **self.partitioning.get(name, {}))
 
     def replace(self, name: str, df: DataFrame, order_by: dict | None = None) -> None:
         """Rows of a database table have no order, so ``order_by`` is not used."""

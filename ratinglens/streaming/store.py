@@ -46,3 +46,34 @@ class ReviewStore:
         columns = [f.name for f in STORED_REVIEW if f.name != BATCH]
         new.select(columns).write.mode("overwrite").parquet(f"{self.root}/reviews/{BATCH}={batch_id}")
         rejected.select("value").write.mode("overwrite").parquet(f"{self.root}/rejected/{BATCH}={batch_id}")
+
+
+class TableReviewStore:
+    """Reviews and rejected messages as two tables that are appended to, with the interface of ``ReviewStore``.
+
+    ``tables`` is a ``JdbcTables`` or ``TableFolder`` in which the tables ``review_table`` and ``rejected_table``
+    exist. Rows of a table cannot be replaced by batch; instead a repeated batch adds what is missing: its reviews
+    are compared with all stored ones, those that it stored itself included.
+    """
+
+    def __init__(self, tables):
+        self.tables = tables
+
+    def reviews(self) -> DataFrame:
+        return self.tables.read("review_table")
+
+    def rejected(self) -> DataFrame:
+        return self.tables.read("rejected_table")
+
+    def reviews_besides(self, batch_id: int) -> DataFrame:
+        return self.reviews()
+
+    def reviews_of(self, batch_ids) -> DataFrame:
+        return self.reviews().filter(F.col(BATCH).isin(sorted(batch_ids)))
+
+    def write_batch(self, new: DataFrame, rejected: DataFrame, batch_id: int) -> None:
+        batch = F.lit(batch_id).cast("long").alias(BATCH)
+        self.tables.append("review_table", new.select(*[f.name for f in STORED_REVIEW if f.name != BATCH], batch))
+        stored = self.rejected().filter(F.col(BATCH) == batch_id).select(F.col("value").alias("_stored"))
+        missing = rejected.join(stored, rejected["value"].eqNullSafe(stored["_stored"]), "left_anti")
+        self.tables.append("rejected_table", missing.select("value", batch))

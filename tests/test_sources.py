@@ -84,6 +84,10 @@ def test_jdbc_options():
                            "partitionColumn": "id_date", "lowerBound": "1", "upperBound": "1000", "numPartitions": "8"}
     with pytest.raises(ValueError):
         jdbc.read_jdbc_table(Recorder(), {}, "t", "id_date")
+    reader = Recorder()
+    by_number = {"partition_column": "id_date", "lower_bound": 1, "upper_bound": 9, "num_partitions": 3}
+    jdbc.JdbcTables(reader, {"url": "jdbc:x"}, {"review_table": by_number}).read("review_table")
+    assert reader.seen["numPartitions"] == "3" and reader.seen["partitionColumn"] == "id_date"
     writer = Recorder()
     jdbc.JdbcTables(None, {"url": "jdbc:x"}).append("t", writer)
     assert writer.seen == {"format": "jdbc", "url": "jdbc:x", "dbtable": "t", "truncate": "true", "mode": "append"}

@@ -18,7 +18,7 @@ from ratinglens.streaming.review_stream import (
     start_review_stream,
     without_repeats,
 )
-from ratinglens.streaming.store import ReviewStore
+from ratinglens.streaming.store import REJECTED, STORED_REVIEW, ReviewStore, TableReviewStore
 
 from .conftest import rows, same
 
@@ -107,6 +107,21 @@ def test_due_refreshes_are_not_lost(spark, make_reviews, make_business, tmp_path
     assert results.read("business_overview").count() == 1 and ingest.catch_up() == {}
 
 
+def test_store_in_tables(spark, make_reviews, tmp_path):
+    """A repeated batch adds only what is missing."""
+    tables = TableFolder(spark, str(tmp_path / "database"))
+    tables.append("review_table", spark.createDataFrame([], STORED_REVIEW))
+    tables.append("rejected_table", spark.createDataFrame([], REJECTED))
+    ingest = ReviewIngest(TableReviewStore(tables), None, None, None, refresh_every=0)
+    broken = spark.createDataFrame([(None, "{broken")], "key string, value string")
+    ingest.process(to_messages(make_reviews({}, {})), 0)
+    for _ in range(2):
+        ingest.process(to_messages(make_reviews({}, {}, {})).unionByName(broken), 1)
+    assert sorted((r["review_id"], r["ingest_batch"]) for r in ingest.store.reviews().collect()) == [("r0", 0), ("r1", 0), ("r2", 1)]
+    assert [r["value"] for r in ingest.store.rejected().collect()] == ["{broken"]
+    assert [r["review_id"] for r in ingest.store.reviews_of({1}).collect()] == ["r2"]
+
+
 @pytest.mark.parametrize("seed", [1, 2])
 def test_touched_businesses_alone_give_the_whole(spark, make_reviews, make_business, seed):
     """Any split in two, with late reviews and new businesses, brought up to date equals all at once."""
