@@ -40,27 +40,40 @@ def word_list(text: Column) -> Column:
 def repeated_words(words: Column) -> Column:
     """Words that stand in a window of three words found twice or more in the text.
 
-    Windows are sorted by a hash with their place in the low bits; neighbours with one hash are compared by their
-    words, so a collision of hashes counts for nothing.
+    Windows are sorted by a hash with their place in the low bits, and neighbours with one hash are compared by their
+    words. Should two different windows of a text share a hash, its windows are sorted by their words instead.
     """
     mask = F.lit((1 << _PLACE_BITS) - 1).cast("bigint")
     place = lambda v: v.bitwiseAND(mask).cast("int")
+    hashed = lambda v: F.shiftright(v, _PLACE_BITS)
     three = lambda w, i: (F.get(w, i), F.get(w, i + 1), F.get(w, i + 2))
+    places = lambda w: F.sequence(F.lit(0), F.size(w) - 3)
+    sure = lambda condition: F.coalesce(condition, F.lit(False))
 
-    def equal(w, a, b):
-        same = F.shiftright(a, _PLACE_BITS) == F.shiftright(b, _PLACE_BITS)
-        for x, y in zip(three(w, place(a)), three(w, place(b)), strict=True):
-            same = same & (x == y)
-        return F.coalesce(same, F.lit(False))
+    def same_words(w, i, j):
+        x, y, z = (a == b for a, b in zip(three(w, i), three(w, j), strict=True))
+        return x & y & z
+
+    def covered(found):
+        return F.size(F.array_distinct(F.flatten(F.transform(found, lambda i: F.array(i, i + 1, i + 2)))))
+
+    def by_hash(w, p):
+        equal = lambda a, b: sure((hashed(a) == hashed(b)) & same_words(w, place(a), place(b)))
+        again = F.filter(p, lambda v, i: equal(v, F.get(p, i - 1)) | equal(v, F.get(p, i + 1)))
+        return covered(F.transform(again, place))
+
+    def by_words(w):
+        equal = lambda a, b: sure(same_words(w, a["place"], b["place"]))
+        rows = F.sort_array(F.transform(places(w), lambda i: F.struct(F.array(*three(w, i)).alias("words"), i.alias("place"))))
+        return _let(rows, lambda r: covered(F.transform(
+            F.filter(r, lambda v, i: equal(v, F.get(r, i - 1)) | equal(v, F.get(r, i + 1))), lambda v: v["place"])))
 
     def count(w):
         packed = F.sort_array(F.transform(
-            F.sequence(F.lit(0), F.size(w) - 3),
-            lambda i: F.shiftleft(F.xxhash64(*three(w, i)), _PLACE_BITS).bitwiseOR(i.cast("bigint"))))
-        again = lambda p: F.filter(p, lambda v, i: equal(w, v, F.get(p, i - 1)) | equal(w, v, F.get(p, i + 1)))
-        covered = lambda p: F.array_distinct(F.flatten(F.transform(
-            again(p), lambda v: F.array(place(v), place(v) + 1, place(v) + 2))))
-        return _let(packed, lambda p: F.size(covered(p)))
+            places(w), lambda i: F.shiftleft(F.xxhash64(*three(w, i)), _PLACE_BITS).bitwiseOR(i.cast("bigint"))))
+        clash = lambda a, b: sure((hashed(a) == hashed(b)) & ~same_words(w, place(a), place(b)))
+        clashes = lambda p: F.size(F.filter(p, lambda v, i: clash(v, F.get(p, i + 1)))) > 0
+        return _let(packed, lambda p: F.when(clashes(p), by_words(w)).otherwise(by_hash(w, p)))
 
     return F.when(F.size(words) >= 4, _let(words, count)).otherwise(0)
 

@@ -2,6 +2,7 @@
 
 import re
 from collections import Counter, defaultdict
+from random import Random
 
 import numpy as np
 import pytest
@@ -230,3 +231,20 @@ def test_pipeline(spark, docs):
     expected = {k: len(words(t)) for k, t in single.items() if k not in leaked(single, items)}
     found = corpus_pipeline.run(spark, SMALL).groupBy("doc_id").agg(F.sum("length").alias("n")).collect()
     assert {r.doc_id: r.n for r in found} == expected and len(expected) > 100
+
+
+@pytest.mark.parametrize("bits", [26, 60])
+def test_repeated_words_whatever_the_hashes(spark, monkeypatch, bits):
+    """With 60 bits for the place four are left for the hash, so that different windows clash in almost every text."""
+    monkeypatch.setattr(quality_rules, "_PLACE_BITS", bits)
+    random = Random(3)
+    texts = [" ".join(random.choice("abcde") for _ in range(n)) for n in (0, 3, 4, 5, 12, 20, 40, 60, 90)]
+
+    def expected(text):
+        words = text.split()
+        windows = [tuple(words[i:i + 3]) for i in range(len(words) - 2)]
+        return len({i + k for i, w in enumerate(windows) if windows.count(w) > 1 for k in range(3)})
+
+    found = spark.createDataFrame(enumerate(texts), "id int, text string").select(
+        "id", quality_rules.measures(F.col("text"))["n_repeat_words"]).collect()
+    assert {r["id"]: r["n_repeat_words"] for r in found} == {i: expected(t) for i, t in enumerate(texts)}
