@@ -11,10 +11,16 @@ from ratinglens.llm import decontamination, line_dedup, near_duplicates, packing
 from ratinglens.llm.staging import staged
 
 
-def _without(docs: DataFrame, ids: DataFrame) -> DataFrame:
-    """Rows whose doc_id is not among ``ids``, a single column; a null id counts as a value."""
-    ids = ids.toDF("gone")
-    return docs.join(ids, docs["doc_id"].eqNullSafe(ids["gone"]), "left_anti")
+def _named(docs: DataFrame) -> DataFrame:
+    """(doc_id, text) with the id and the text's digest as one id, so that rows which repeat an id are told apart."""
+    return docs.select(F.struct("doc_id", F.md5("text").alias("digest")).alias("doc_id"), "text")
+
+
+def _without(docs: DataFrame, named: DataFrame) -> DataFrame:
+    """Rows of ``docs`` whose id and text are not among ``named``, ids as ``_named`` makes them; nulls count as values."""
+    gone = named.select(F.col("doc_id.doc_id").alias("gone_id"), F.col("doc_id.digest").alias("gone_digest"))
+    same = docs["doc_id"].eqNullSafe(gone["gone_id"]) & F.md5(docs["text"]).eqNullSafe(gone["gone_digest"])
+    return docs.join(gone, same, "left_anti")
 
 
 def keep_good_documents(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
@@ -29,14 +35,18 @@ def drop_boilerplate(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataF
 
 
 def keep_one_of_near_copies(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """One document of each group with five-word shingles alike to 0.8; a pair at 0.8 is missed with a chance of 6e-7."""
-    labels = near_duplicates.near_duplicates(docs, size=5, percent=80, rows=5, bands=36)
+    """One document of each group with five-word shingles alike to 0.8; a pair at 0.8 is missed with a chance of 6e-7.
+
+    Of documents that share an id only those go whose own text has a copy; rows alike in id and text are one document.
+    """
+    labels = near_duplicates.near_duplicates(_named(docs), size=5, percent=80, rows=5, bands=36)
     return _without(docs, labels.where("not kept").select("doc_id").distinct())
 
 
 def drop_benchmark_leaks(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """Documents without benchmark passages; of documents that share an id only those with a leak in their own text go."""
     benchmark = spark.read.parquet(f"{sf_dir.rstrip('/')}/benchmark.parquet")
-    return _without(docs, staged(decontamination.find_leaks(docs, benchmark).select("doc_id")))
+    return _without(docs, staged(decontamination.find_leaks(_named(docs), benchmark).select("doc_id")))
 
 
 def pack_sequences(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:

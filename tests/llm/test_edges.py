@@ -78,3 +78,16 @@ def test_stages_keep_the_columns(spark, odd):
     for _, stage in corpus_pipeline.STAGES[:-1]:
         assert stage(spark, odd, benchmark_folder).dtypes == odd.dtypes
         assert stage(spark, odd.where("false"), benchmark_folder).count() == 0
+
+
+def test_stages_tell_rows_with_one_id_apart(spark):
+    """A copy or a leak among rows that repeat an id, a null one too, takes no other text of that id with it."""
+    said = lambda word: " ".join(f"{word}{i}" for i in range(60))
+    leak = spark.read.parquet("/root/testdata/sf0.001/benchmark.parquet").orderBy(F.length("text").desc()).first()["text"]
+    docs = spark.createDataFrame([(1, said("a")), (2, said("a")), (2, said("b")), (None, said("b")), (None, said("c")), (3, said("d")), (3, leak)],
+                                 "doc_id bigint, text string")
+    stage = dict(corpus_pipeline.STAGES)
+    found = sorted(((r.doc_id or 0), r.text) for r in stage["near_duplicates"](spark, docs, "").collect())
+    assert [(i, t[:2]) for i, t in found if t != leak] == [(0, "b0"), (0, "c0"), (1, "a0"), (3, "d0")] and (3, leak) in found
+    left = stage["decontamination"](spark, docs, "/root/testdata/sf0.001")
+    assert left.count() == 6 and left.where(F.col("text") == leak).isEmpty()
