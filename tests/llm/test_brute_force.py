@@ -125,6 +125,20 @@ def test_personal_base_spans(docs):
         assert [(s.start, s.end) for s in found if s.order == 1] == [m.span() for m in ip.finditer(text) if all(int(p) <= 255 for p in m[0].split("."))]
 
 
+def test_personal_data_outside_the_base_kinds(spark):
+    """Spelled-out addresses and national phone numbers are added; dates, ISBNs, decimals and pieces of hashes are not."""
+    documents = spark.read.parquet("/root/testdata/sf0.01/documents.parquet")
+    model = personal_data.train(documents)
+    added = {
+        1: ("write to jane.doe (at) mail3 (dot) example (dot) com today", "jane.doe (at) mail3 (dot) example (dot) com"),
+        2: ("call us now on (415) 555-2671 or later", "(415) 555-2671"), 3: ("a.b (at) host (dot) org", "a.b (at) host (dot) org"),
+        4: ("on 2024-01-15 we had 3.14159265 and 978-3-16-148410-0 here", None), 5: ("token 3c4226790fc3f8022 or 10.0.0.256 x", None)}
+    df = spark.createDataFrame([(k, text) for k, (text, _) in added.items()], "doc_id bigint, text string")
+    for r in personal_data.find_personal_data(df, model).collect():
+        text, expected = added[r.doc_id]
+        assert [text[s.start:s.end] for s in r.spans if not s.base] == [expected] * (expected is not None)
+
+
 def test_quality_measures(docs):
     for r in quality_rules.quality_rules(docs).select("row.text", *quality_rules.MEASURES).collect():
         w = WORD.findall(r.text)
