@@ -59,6 +59,12 @@ def test_personal_data_of_odd_rows(odd):
     assert row.masked == "call [phone] or [email], 10.0.0.256 and [ip], [card]"
 
 
+def test_personal_data_without_candidates(spark):
+    df = spark.createDataFrame([(1, "room 5"), (2, "7 rooms")], "doc_id bigint, text string")
+    model = personal_data.train(df)
+    assert model == {} and all(r.spans == [] for r in personal_data.find_personal_data(df, model).collect())
+
+
 def test_language_without_letters(odd):
     found = {r.doc_id: r for r in language_id.identify(odd, language_id.train(odd)).collect() if r.doc_id in (1, 2, 3)}
     assert all(r.lang_pred == "und" and r.score == 0 for r in found.values())
