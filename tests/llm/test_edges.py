@@ -86,6 +86,14 @@ def test_stages_keep_the_columns(spark, odd):
         assert stage(spark, odd.where("false"), benchmark_folder).count() == 0
 
 
+def test_boilerplate_below_a_tenth_of_the_pages(spark):
+    """A line on 9 of 100 pages goes from each of them; one on 2 of 100 stays."""
+    texts = [f"own line {i}" + "\nshared footer" * (i < 9) + "\nquoted twice" * (i in (20, 30)) for i in range(100)]
+    df = spark.createDataFrame([(i, t, "a") for i, t in enumerate(texts)], "doc_id bigint, text string, source string")
+    left = {r.doc_id: r.text for r in corpus_pipeline.drop_boilerplate(spark, df.withColumn("n_chars", F.lit(0)), "").collect()}
+    assert left == {i: t.replace("\nshared footer", "") for i, t in enumerate(texts)}
+
+
 def test_stages_tell_rows_with_one_id_apart(spark):
     """A copy or a leak among rows that repeat an id, a null one too, takes no other text of that id with it."""
     said = lambda word: " ".join(f"{word}{i}" for i in range(60))
