@@ -10,8 +10,11 @@ from pyspark.sql import functions as F
 from .staging import checkpointed, type_of
 from .word_arrays import mix, text_slices, window_hashes, words_of
 
-# Word places that a seed looks at; the first stands for short items, the others pass over up to four places.
-MASKS = ((0, 1, 2, 3, 4, 5, 6, 7), (0, 1, 3, 4, 6, 7, 9), (0, 1, 2, 5, 6, 9, 10))
+# Word places that a seed looks at, and the least and most words of the items that have seeds of it. The last three
+# were chosen greedily until, of all patterns of substitutions that leave a leak in an item of 8 to 20 words, each holds
+# a seed. A leak in a longer item has its first 13 equal words within 19, as each substituted word costs two.
+MASKS = ((0, 1, 2, 3, 4, 5, 6, 7), (0, 1, 3, 4, 6, 7, 9), (0, 1, 2, 5, 6, 9, 10), (0, 2, 4, 9, 10), (0, 1, 2, 4, 5), (0, 1, 2, 4))
+ITEM_WORDS = (*[(8, np.inf)] * 3, *[(13, np.inf)] * 2, (8, 12))
 AROUND = 32                     # words compared on either side of a seed's first word and after its last
 MIN_MATCHED = 13                # equal words in one stretch that make a leak
 SHORT_PERCENT = 80              # ... or this share of an item with fewer words
@@ -23,11 +26,15 @@ _FILTER_BITS = 24
 _U64 = np.uint64
 
 
-def _seeds(hashes: np.ndarray, first: np.ndarray):
-    """(seed, place) of every window of every mask that fits into its text."""
-    for number, mask in enumerate(MASKS):
+def _seeds(hashes: np.ndarray, first: np.ndarray, items: bool):
+    """(seed, place) of every window of every mask that fits into its text; of items only for the masks of their length."""
+    length = np.diff(first)
+    for number, (mask, (least, most)) in enumerate(zip(MASKS, ITEM_WORDS, strict=True)):
         place = np.arange(len(hashes))
-        place = place[place + mask[-1] < np.repeat(first[1:], np.diff(first))]
+        fits = place + mask[-1] < np.repeat(first[1:], length)
+        if items:
+            fits &= np.repeat((length >= least) & (length <= most), length)
+        place = place[fits]
         yield mix(window_hashes(hashes, place, mask) + _U64(number)), place
 
 
@@ -40,13 +47,13 @@ def _contexts(hashes: np.ndarray, first: np.ndarray, text: np.ndarray, place: np
 
 
 def _seed_table(texts: DataFrame, id_type: str, wanted: np.ndarray | None) -> DataFrame:
-    """(id, seed, around, n_words) of the seeds of (id, text); with a filter only of those that it holds."""
+    """(id, seed, around, n_words) of the seeds of items (id, text); with a filter, of documents, only of those that it holds."""
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
             for begin, data, offsets in text_slices(batch.column(1)):
                 words = words_of(data, offsets)
                 text_of = words.text_of()
-                for seed, place in _seeds(words.hashes, words.first):
+                for seed, place in _seeds(words.hashes, words.first, wanted is None):
                     if wanted is not None:
                         low = (seed & _U64((1 << _FILTER_BITS) - 1)).astype(np.int64)
                         held = (wanted[low >> 3] >> (low & 7).astype(np.uint8)) & 1
@@ -97,7 +104,8 @@ def find_leaks(docs: DataFrame, benchmark: DataFrame, text: str = "text", doc_id
     windows of documents that no benchmark window can equal are dropped by a bitmap of fixed size before they leave
     their task, the others are joined with the benchmark's by hash. Around each hit the words of both sides are
     compared in place: a stretch with 13 equal words is a leak, substituted words inside being tolerated, as is
-    80 percent of an item of 8 to 16 words. Shorter items are not looked for.
+    80 percent of an item of 8 to 16 words. Every pattern of substituted words that this permits holds a seed; words
+    put in or left out end a stretch. Shorter items are not looked for.
 
     Null texts and null ids of items hold nothing; a null doc_id is reported as null. Rows that repeat an id are
     reported once. Other columns are ignored. Without leaks, documents or items the result is empty.

@@ -1,5 +1,6 @@
 """Operators against plain Python on small tables."""
 
+import itertools
 import re
 from collections import Counter, defaultdict
 from random import Random
@@ -186,6 +187,30 @@ def test_leaks(spark, docs):
     assert sum(k >= 100_000 for k in found) > 0.9 * len(items)
 
 
+def test_leaks_with_any_permitted_substitutions(spark):
+    """All patterns for items of 8 to 14 words, random ones for longer items; those with a leak are found, no others."""
+    random, items, texts, expected = np.random.default_rng(3), {}, {}, {}
+
+    def most_equal(same):                       # of the stretch with the best score, of equal ones the one that ends first and is shortest
+        sums = {(i, j): sum(1 if x else -2 for x in same[i:j]) for i in range(len(same)) for j in range(i + 1, len(same) + 1)}
+        i, j = max(sums, key=lambda s: (sums[s], -s[1], s[0]))
+        return sum(same[i:j])
+
+    for n in (*range(8, 15), 15, 16, 18, 25, 38):
+        items[n] = " ".join(f"i{n}x{k}" for k in range(n))
+        most = n - min(13, -(-n * 80 // 100))
+        patterns = [p for k in range(most + 1) for p in itertools.combinations(range(n), k)] if n < 15 else [
+            np.flatnonzero(random.random(n) < share) for share in (0.1, 0.2) for _ in range(100)]
+        for p in patterns:
+            key = len(texts)
+            texts[key] = " ".join([f"b{key}", *(f"s{key}x{k}" if k in p else f"i{n}x{k}" for k in range(n)), f"e{key}"])
+            if most_equal([k not in p for k in range(n)]) >= min(13, -(-n * 80 // 100)):
+                expected[key] = [n]
+    df = spark.createDataFrame(list(texts.items()), "doc_id bigint, text string")
+    benchmark = spark.createDataFrame(list(items.items()), "item_id bigint, text string")
+    assert {r.doc_id: r["items"] for r in decontamination.find_leaks(df, benchmark).collect()} == expected
+
+
 def test_packing(docs):
     sizes = packing.Sizes((64, 256, 512))
     counted = {r.doc_id: len(WORD.findall(r.text)) for r in docs.collect()}
