@@ -94,6 +94,13 @@ def test_boilerplate_below_a_tenth_of_the_pages(spark):
     assert left == {i: t.replace("\nshared footer", "") for i, t in enumerate(texts)}
 
 
+def test_repeated_rows_are_near_copies(spark):
+    rows = [(1, "a b c d e f g"), (1, "a b c d e f g"), (None, "h i j k l m"), (None, "h i j k l m"), (2, None), (2, None), (1, "n o p q r s")]
+    df = spark.createDataFrame(rows, "doc_id bigint, text string")
+    left = corpus_pipeline.keep_one_of_near_copies(spark, df, "").collect()
+    assert len(left) == 4 and {(r.doc_id, r.text) for r in left} == set(rows)
+
+
 def test_stages_tell_rows_with_one_id_apart(spark):
     """A copy or a leak among rows that repeat an id, a null one too, takes no other text of that id with it."""
     said = lambda word: " ".join(f"{word}{i}" for i in range(60))
