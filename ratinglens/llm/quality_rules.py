@@ -124,7 +124,17 @@ def kept(limits: Limits) -> Column:
     return ~(base_failed(limits) | _soft_failed(limits.symbols, limits.dup_lines) | strict | (F.col("verdict") == "rejected"))
 
 
-def quality_rules(docs: DataFrame, limits: Limits = Limits(), text: str = "text", host: str = "source") -> DataFrame:
+def _measured(rows: DataFrame, text: str, host: str) -> DataFrame:
+    return rows.select("row", F.col(f"row.{host}").alias("host"), *measures(F.col(f"row.{text}")).values())
+
+
+def _judged(measured: DataFrame, limits: Limits) -> DataFrame:
+    """Measured rows, staged by the caller, with their host's rate and verdict."""
+    hosts = staged(host_verdicts(measured.drop("row"), limits).select(F.col("host").alias("of_host"), "rate", "verdict"))
+    return measured.join(hosts, measured["host"].eqNullSafe(hosts["of_host"]), "left")
+
+
+def quality_rules(docs: DataFrame, limits: Limits = Limits(), text: str = "text", host: str = "source", carried=None) -> DataFrame:
     """Each row of ``docs`` as struct ``row``, with its measures, base_failed, host_rate, host_verdict and kept.
 
     A document fails if it has too few words, too many repeated ones, too many symbols or repeated lines. Failures
@@ -133,12 +143,25 @@ def quality_rules(docs: DataFrame, limits: Limits = Limits(), text: str = "text"
     loses all its documents. Counting combines before the shuffle, and the verdicts have one row a host, so a host
     with a third of all rows is no burden; Spark broadcasts them where their files are small.
 
+    The texts are measured once: rows and measures are staged before the hosts are counted. ``carried`` names the
+    columns that ``row`` holds, all by default; a caller that does not need the texts leaves them out of the stage.
+
     Null texts count as empty and fail; null hosts are one host. Any other columns, whatever their names, stay in
     ``row``; repeated rows are judged each; an empty table gives an empty result.
     """
-    docs = docs.select(F.struct("*").alias("row"))
-    measured = docs.select("row", F.col(f"row.{host}").alias("host"), *measures(F.col(f"row.{text}")).values())
-    hosts = staged(host_verdicts(measured.drop("row"), limits).select(F.col("host").alias("of_host"), "rate", "verdict"))
-    joined = measured.join(hosts, measured["host"].eqNullSafe(hosts["of_host"]), "left")
-    return joined.select("row", *MEASURES, base_failed(limits).alias("base_failed"), F.col("rate").alias("host_rate"),
-                         F.col("verdict").alias("host_verdict"), kept(limits).alias("kept"))
+    measured = _measured(docs.select(F.struct("*").alias("row")), text, host)
+    if carried is not None:
+        measured = measured.withColumn("row", F.struct(*[F.col("row")[c].alias(c) for c in carried]))
+    return _judged(staged(measured), limits).select(
+        "row", *MEASURES, base_failed(limits).alias("base_failed"), F.col("rate").alias("host_rate"),
+        F.col("verdict").alias("host_verdict"), kept(limits).alias("kept"))
+
+
+def good_documents(docs: DataFrame, limits: Limits = Limits(), text: str = "text", host: str = "source") -> DataFrame:
+    """The rows of ``docs`` that ``quality_rules`` keeps, with the columns of ``docs``.
+
+    Rows that fail by themselves are staged as their measures only, as they count for their host but do not come back.
+    """
+    measured = _measured(docs.select(F.struct("*").alias("row")), text, host)
+    alone = ~(base_failed(limits) | _soft_failed(limits.symbols, limits.dup_lines))
+    return _judged(staged(measured.withColumn("row", F.when(alone, F.col("row")))), limits).where(kept(limits)).select("row.*")

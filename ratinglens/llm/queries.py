@@ -101,7 +101,7 @@ def op9_personal_data(spark, folder):
 
 @query
 def op10_quality_rules(spark, folder):
-    judged = quality_rules.quality_rules(_read(spark, folder, "documents"))
+    judged = quality_rules.quality_rules(_read(spark, folder, "documents"), carried=["doc_id"])
     return judged.select("row.doc_id", "n_words", "word_chars", "n_symbols", "n_dup_lines", "n_repeat_words", "base_failed", "kept")
 
 

@@ -267,7 +267,8 @@ def test_pipeline(spark, docs):
     groups = components_by_pairs(texts, 5, 80)
     single = {k: texts[k] for k, (_, root) in groups.items() if root == k}
     items = {r.item_id: r.text for r in spark.read.parquet(f"{SMALL}/benchmark.parquet").collect()}
-    expected = {k: len(words(t)) for k, t in single.items() if k not in leaked(single, items)}
+    leaks = leaked(single, items)
+    expected = {k: len(words(t)) for k, t in single.items() if k not in leaks}
     found = corpus_pipeline.run(spark, SMALL).groupBy("doc_id").agg(F.sum("length").alias("n")).collect()
     assert {r.doc_id: r.n for r in found} == expected and len(expected) > 100
 
