@@ -5,59 +5,29 @@ the columns of their input. Tables are handed on as Parquet in the shared folder
 """
 
 from pyspark.sql import DataFrame, SparkSession
-from pyspark.sql import functions as F
 
-from ratinglens.llm import decontamination, line_dedup, near_duplicates, packing, quality_rules
+from ratinglens.llm import stages
 from ratinglens.llm.staging import staged
 
-# Share of a host's pages from which a line is boilerplate. On sf0.1 the (host, line) pairs on 5 or more of about 500
-# pages fill the shares from 1 to 4.6 % without a gap, and the main line has 8.7 to 13.2 %: a limit of 10 %, as op3 and
-# its SQL have, goes through the latter. 2 % drops it on all hosts, and 167 of the 396 pairs.
-BOILERPLATE_SHARE = 0.02
-
-
-def _named(docs: DataFrame) -> DataFrame:
-    """(doc_id, text) with the id and the text's digest as one id, so that rows which repeat an id are told apart."""
-    return docs.select(F.struct("doc_id", F.md5("text").alias("digest")).alias("doc_id"), "text")
-
-
-def _without(docs: DataFrame, named: DataFrame) -> DataFrame:
-    """Rows of ``docs`` whose id and text are not among ``named``, ids as ``_named`` makes them; nulls count as values."""
-    gone = named.select(F.col("doc_id.doc_id").alias("gone_id"), F.col("doc_id.digest").alias("gone_digest"))
-    same = docs["doc_id"].eqNullSafe(gone["gone_id"]) & F.md5(docs["text"]).eqNullSafe(gone["gone_digest"])
-    return docs.join(gone, same, "left_anti")
-
 
 def keep_good_documents(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    return quality_rules.quality_rules(docs).where("kept").select("row.*")
+    return stages.keep_good(docs)
 
 
 def drop_boilerplate(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """Texts without boilerplate lines; n_chars follows the text."""
-    cleaned = line_dedup.line_dedup(docs, BOILERPLATE_SHARE).select("row.*", F.col("clean_text").alias("_clean_text"))
-    changed = {"text": F.col("_clean_text"), "n_chars": F.length("_clean_text").cast("bigint")}
-    return cleaned.select(*[changed[c].alias(c) if c in changed else F.col(c) for c in docs.columns])
+    return stages.drop_boilerplate(docs)
 
 
 def keep_one_of_near_copies(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """One document of each group with five-word shingles alike to 0.8; a pair at 0.8 is missed with a chance of 6e-7.
-
-    Of documents that share an id only those go whose own text has a copy; of rows alike in id and text one stays.
-    """
-    columns = docs.columns
-    docs = docs.withColumn("_digest", F.md5("text")).dropDuplicates(["doc_id", "_digest"]).select(*columns)
-    labels = near_duplicates.near_duplicates(_named(docs), size=5, percent=80, rows=5, bands=36)
-    return _without(docs, labels.where("not kept").select("doc_id").distinct())
+    return stages.keep_one_of_near_copies(docs)
 
 
 def drop_benchmark_leaks(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """Documents without benchmark passages; of documents that share an id only those with a leak in their own text go."""
-    benchmark = spark.read.parquet(f"{sf_dir.rstrip('/')}/benchmark.parquet")
-    return _without(docs, staged(decontamination.find_leaks(_named(docs), benchmark).select("doc_id")))
+    return stages.drop_leaks(docs, spark.read.parquet(f"{sf_dir.rstrip('/')}/benchmark.parquet"))
 
 
 def pack_sequences(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    return packing.pack(docs)
+    return stages.pack(docs)
 
 
 STAGES = [
