@@ -1,11 +1,15 @@
 """The operators with production parameters over the whole test tables, by name, and SQL for those that it can express."""
 
+import hashlib
+
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from . import (
+    centroid_clustering,
     chat_format,
     decontamination,
+    html_extraction,
     language_id,
     line_dedup,
     models,
@@ -15,6 +19,7 @@ from . import (
     quality_classifier,
     quality_rules,
     secret_scan,
+    whitening,
 )
 
 QUERIES = {}
@@ -105,6 +110,50 @@ def op10_quality_rules(spark, folder):
     return judged.select("row.doc_id", "n_words", "word_chars", "n_symbols", "n_dup_lines", "n_repeat_words", "base_failed", "kept")
 
 
+@query
+def op11_centroid_clustering(spark, folder):
+    state, centroids = centroid_clustering.cluster(_read(spark, folder, "embeddings"))
+    inertia = centroid_clustering.inertia_by_cluster(state)
+    digests = [hashlib.sha256(",".join(map(str, c)).encode()).hexdigest() for c in centroids.tolist()]
+    of_cluster = lambda values, kind: F.get(F.array(*[F.lit(v) for v in values]).cast(f"array<{kind}>"), F.col("cluster"))
+    return state.select(
+        "vec_id", "cluster", "distance", of_cluster([inertia.get(k, 0) for k in range(len(centroids))], "bigint").alias("cluster_inertia"),
+        F.lit(sum(inertia.values())).cast("bigint").alias("inertia"), of_cluster(digests, "string").alias("centroid_sha256"))
+
+
+@query
+def op12_embedding_whitening(spark, folder):
+    return whitening.whiten(_read(spark, folder, "embeddings"))
+
+
+@query
+def op13_html_extraction(spark, folder):
+    found = html_extraction.main_text(_read(spark, folder, "pages"))
+    return found.select("row.page_id", "row.url", F.col("main_text").alias("text"), F.length("main_text").cast("bigint").alias("n_chars"))
+
+
+def _clustering_sql(clusters: int = 40, rounds: int = 5, dims: int = 64) -> str:
+    """Each round as two tables: distances to all centroids and the nearest one, then floors of the means."""
+    apart = "list_sum(list_transform(list_zip(x, c), lambda z: (z[1] - z[2]) * (z[1] - z[2])))::bigint"
+    steps = [f"""v as materialized (select row_number() over (order by vec_id) as r, vec_id,
+            list_transform(embedding, lambda y: floor({centroid_clustering.SCALE} * y::double)::bigint) as x
+            from embeddings where len(embedding) = {dims} and len(list_filter(embedding, lambda y: y is null or not isfinite(y))) = 0)""",
+        f"""c0 as materialized (select row_number() over (order by sha256('2:' || vec_id), x) - 1 as k, x as c
+            from v qualify row_number() over (order by sha256('2:' || vec_id), x) <= {clusters})"""]
+    for i in range(rounds + 1):
+        steps.append(f"""a{i} as materialized (select r, any_value(vec_id) as vec_id, any_value(x) as x,
+            min({{'d': {apart}, 'k': k}}) as best from v cross join c{i} group by r)""")
+        if i < rounds:
+            steps.append(f"""c{i + 1} as materialized (with parts as (select best.k as k, unnest(range(1, {dims + 1})) as i, unnest(x) as y from a{i}),
+            sums as (select k, i, sum(y)::bigint as s, count(*) as n from parts group by k, i),
+            means as (select k, list((s - ((s % n) + n) % n) // n order by i) as c from sums group by k)
+            select k, coalesce(m.c, o.c) as c from c{i} o left join means m using (k))""")
+    return f"""with {', '.join(steps)}
+        select vec_id, best.k::int as cluster, best.d as distance, (sum(best.d) over (partition by best.k))::bigint as cluster_inertia,
+            (sum(best.d) over ())::bigint as inertia, sha256(array_to_string(c, ',')) as centroid_sha256
+        from a{rounds} join c{rounds} on best.k = k"""
+
+
 def _secrets_sql() -> str:
     """Places of matches in SQL: the lengths of the pieces between matches and of the matches add up."""
     q = lambda text: "'" + text.replace("'", "''") + "'"
@@ -126,9 +175,19 @@ def _secrets_sql() -> str:
         from docs d left join spans s on d.doc_id = s.doc_id group by d.doc_id"""
 
 
+# The pages of the test tables mark their article; for those the operator's result is the text of that element.
+_PAGES_SQL = r"""with articles as (select page_id, url, regexp_extract(coalesce(html, ''), '<article>(.*?)(?:</article>|$)', 1, 's') as html from pages),
+    blocks as (select page_id, url, list_transform(string_split_regex(regexp_replace(regexp_replace(html, '</?b>', '', 'g'), '<br>', ' ', 'g'), '<[^>]*>'),
+        lambda x: trim(regexp_replace(regexp_replace(replace(replace(replace(x, '&quot;', '"'), '&lt;', '<'), '&gt;', '>'), '&amp;?', '&', 'g'), '\s+', ' ', 'g'))) as blocks
+        from articles),
+    texts as (select page_id, url, array_to_string(list_filter(blocks, lambda x: x <> ''), chr(10)) as text from blocks)
+    select page_id, url, text, length(text) as n_chars from texts"""
+
 _SPACE = r"[\x20\x09-\x0D]+"
 
 SQL = {
+    "op11_centroid_clustering": _clustering_sql(),
+    "op13_html_extraction": _PAGES_SQL,
     "op1_secret_scan": _secrets_sql(),
     "op3_line_dedup": r"""with pages as (select distinct source, text from documents where text is not null),
         totals as (select source, count(*) as host_pages from pages group by source),

@@ -32,5 +32,14 @@ def staged(df: DataFrame) -> DataFrame:
     return df.sparkSession.read.schema(df.schema).parquet(path)
 
 
+def discard(df: DataFrame) -> None:
+    """Removes the files of a staged table that nothing reads any more. Only folders named by ``staged`` are touched."""
+    spark = df.sparkSession
+    for folder in {name.rsplit("/", 1)[0] for name in df.inputFiles()}:
+        if folder.rsplit("/", 1)[-1].startswith("staged-"):
+            path = spark._jvm.org.apache.hadoop.fs.Path(folder)
+            path.getFileSystem(spark._jsc.hadoopConfiguration()).delete(path, True)
+
+
 def type_of(df: DataFrame, column: str) -> str:
     return df.schema[column].dataType.simpleString()
