@@ -7,7 +7,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from .staging import checkpointed, type_of
+from .staging import checkpointed, staged, type_of
 from .word_arrays import mix, text_slices, window_hashes, words_of
 
 # Word places that a seed looks at, and the least and most words of the items that have seeds of it. The last three
@@ -107,6 +107,9 @@ def find_leaks(docs: DataFrame, benchmark: DataFrame, text: str = "text", doc_id
     80 percent of an item of 8 to 16 words. Every pattern of substituted words that this permits holds a seed; words
     put in or left out end a stretch. Shorter items are not looked for.
 
+    What is compared around a hit is limited, n_matched is not: where a leak's document and item overlap beyond it,
+    their whole overlap is compared once more, from the document's text and the item's words.
+
     Null texts and null ids of items hold nothing; a null doc_id is reported as null. Rows that repeat an id are
     reported once. Other columns are ignored. Without leaks, documents or items the result is empty.
     """
@@ -114,9 +117,13 @@ def find_leaks(docs: DataFrame, benchmark: DataFrame, text: str = "text", doc_id
     seeds = checkpointed(_seed_table(items, type_of(benchmark, item_id), None).where(F.col("n_words") >= MIN_ITEM))
     texts = docs.select(F.col(doc_id).alias("id"), F.col(text).alias("text"))
     hits = _seed_table(texts, type_of(docs, doc_id), _seed_filter(seeds)).select(
-        F.col("id").alias("doc_id"), "seed", F.col("around").alias("words"))
-    pairs = hits.join(seeds.select(F.col("id").alias("item_id"), "seed", "around", "n_words"), "seed").select(
-        "doc_id", "item_id", "words", "around", "n_words")
+        F.col("id").alias("doc_id"), "seed", F.col("around").alias("words"), F.col("n_words").alias("doc_words"), F.col("place").alias("doc_place"))
+    # of the item's places those compared are from place - AROUND to place + _CONTEXT - AROUND
+    shift = F.col("doc_place") - F.col("place")
+    whole = (F.col("place") - AROUND <= F.greatest(-shift, F.lit(0))) & (
+        F.col("place") + (_CONTEXT - AROUND) >= F.least("n_words", F.col("doc_words") - shift))
+    pairs = hits.join(seeds.select(F.col("id").alias("item_id"), "seed", "around", "n_words", "place"), "seed").select(
+        "doc_id", "item_id", "words", "around", "n_words", shift.alias("shift"), whole.alias("whole"))
 
     def verify(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
@@ -125,10 +132,74 @@ def find_leaks(docs: DataFrame, benchmark: DataFrame, text: str = "text", doc_id
                 matched = longest_overlap(a, b)
                 needed = np.minimum(MIN_MATCHED, np.ceil(batch.column(4).to_numpy() * SHORT_PERCENT / 100)).astype(np.int64)
                 leak = pa.array(matched >= needed)
-                yield pa.RecordBatch.from_arrays(
-                    [batch.column(0).filter(leak), batch.column(1).filter(leak), pa.array(matched).filter(leak)],
-                    names=["doc_id", "item_id", "n_matched"])
+                kept = [batch.column(i).filter(leak) for i in (0, 1, 5, 6)]
+                yield pa.RecordBatch.from_arrays([*kept, pa.array(matched).filter(leak)], names=["doc_id", "item_id", "shift", "whole", "n_matched"])
+
+    schema = f"doc_id {type_of(docs, doc_id)}, item_id {type_of(benchmark, item_id)}, shift bigint, whole boolean, n_matched bigint"
+    found = staged(pairs.mapInArrow(verify, schema).groupBy("doc_id", "item_id", "shift").agg(
+        F.max("n_matched").alias("n_matched"), F.max("whole").alias("whole")))
+    cut = found.where("not whole")
+    matched = found.select("doc_id", "item_id", "n_matched")
+    if not cut.isEmpty():
+        matched = matched.unionByName(_whole_overlaps(texts, items, cut))
+    return matched.groupBy("doc_id").agg(F.sort_array(F.collect_set("item_id")).alias("items"), F.max("n_matched").alias("n_matched"))
+
+
+def _word_marks(words) -> np.ndarray:
+    """Words as in ``_contexts``."""
+    return (words >> _U64(32)).astype(np.uint32) | np.uint32(1)
+
+
+def _item_marks(items: DataFrame, id_type: str) -> DataFrame:
+    """(item_id, marks): all words of each item; rows that repeat an id stay apart."""
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            for begin, data, offsets in text_slices(batch.column(1)):
+                words = words_of(data, offsets)
+                marks = np.split(_word_marks(words.hashes).view(np.int32), words.first[1:-1])
+                yield pa.RecordBatch.from_arrays([batch.column(0).slice(begin, len(marks)), pa.array(marks, pa.list_(pa.int32()))], names=["item_id", "marks"])
 
-    schema = f"doc_id {type_of(docs, doc_id)}, item_id {type_of(benchmark, item_id)}, n_matched bigint"
-    found = pairs.mapInArrow(verify, schema).groupBy("doc_id", "item_id").agg(F.max("n_matched").alias("n_matched"))
-    return found.groupBy("doc_id").agg(F.sort_array(F.collect_set("item_id")).alias("items"), F.max("n_matched").alias("n_matched"))
+    return items.mapInArrow(run, f"item_id {id_type}, marks array<int>")
+
+
+def _whole_overlaps(texts: DataFrame, items: DataFrame, cut: DataFrame) -> DataFrame:
+    """(doc_id, item_id, n_matched) of the alignments ``cut`` (doc_id, item_id, shift) over all words that overlap.
+
+    Alignments come to a document in lists, so that its text is read once a list. A row that shares its id with the
+    aligned one is compared, too: whatever is equal in it is equal.
+    """
+    id_type, item_type = type_of(cut, "doc_id"), type_of(cut, "item_id")
+    wanted = cut.select("doc_id", "item_id", "shift").join(_item_marks(items, item_type), "item_id")
+    part = F.pmod(F.xxhash64("item_id", "shift"), F.lit(8)).alias("part")
+    lists = staged(wanted.groupBy(F.col("doc_id").alias("of_id"), part).agg(
+        F.collect_list(F.struct("item_id", "shift", "marks")).alias("alignments")))
+    chosen = texts.join(lists, texts["id"].eqNullSafe(lists["of_id"])).select("id", "text", "alignments")
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            for begin, data, offsets in text_slices(batch.column(1)):
+                words = words_of(data, offsets)
+                for row, marks in enumerate(np.split(_word_marks(words.hashes), words.first[1:-1])):
+                    alignments = batch.column(2)[begin + row].values
+                    found = []
+                    for shift, item in zip(alignments.field("shift").to_pylist(), alignments.field("marks"), strict=True):
+                        item = item.values.to_numpy().view(np.uint32)
+                        low, high = max(0, shift), min(len(marks), shift + len(item))
+                        found.append(_best_stretch(marks[low:high] == item[low - shift:high - shift]) if high > low else 0)
+                    yield pa.RecordBatch.from_arrays(
+                        [batch.column(0).take(pa.array([begin + row] * len(found), pa.int64())), alignments.field("item_id"), pa.array(found, pa.int64())],
+                        names=["doc_id", "item_id", "n_matched"])
+
+    return chosen.mapInArrow(run, f"doc_id {id_type}, item_id {item_type}, n_matched bigint")
+
+
+def _best_stretch(equal: np.ndarray) -> int:
+    """``longest_overlap`` of one pair: equal words from where the running score was last at its least to where it is highest."""
+    score = np.where(equal, 1, _SUBSTITUTED).cumsum()
+    least = np.minimum(np.minimum.accumulate(np.append(0, score[:-1])), 0)
+    best = score - least
+    if not len(best) or best.max() <= 0:
+        return 0
+    end = int(best.argmax())
+    start = end - int((np.append(0, score[:end])[::-1] == least[end]).argmax())
+    return int(equal[start:end + 1].sum())

@@ -151,7 +151,12 @@ def test_quality_measures(docs):
 
 def leaked(texts, items):
     """Documents with a stretch of words equal to an item's, substituted ones costing two: every alignment is tried."""
-    found = defaultdict(set)
+    return {k: sorted(v) for k, v in leaks_with_counts(texts, items).items()}
+
+
+def leaks_with_counts(texts, items):
+    """For each document with a leak the items and the most equal words of a stretch that is one."""
+    found = defaultdict(dict)
     for key, text in texts.items():
         a = np.array(words(text), object)
         for item, passage in items.items():
@@ -170,8 +175,38 @@ def leaked(texts, items):
                         if score > best:
                             best, most = score, equal
                     if most >= min(13, -(-len(b) * 80 // 100)):
-                        found[key].add(item)
-    return {k: sorted(v) for k, v in found.items()}
+                        found[key][item] = max(most, found[key].get(item, 0))
+    return found
+
+
+def test_long_items_are_counted_whole(spark):
+    random = Random(4)
+    items = {i: " ".join(f"w{random.randint(0, 400)}" for _ in range(n)) for i, n in enumerate((200, 90, 60, 3000, 20))}
+    texts = {}
+    for name in range(60):
+        w = items[name % 5].split()
+        begin = random.randint(0, max(0, len(w) - 30))
+        part = w[begin:begin + random.choice([20, 80, 5000])]
+        rate = random.choice([0, 0.1, 0.3])
+        texts[name] = " ".join(["a"] * random.randint(0, 90) + [f"s{i}" if random.random() < rate else x for i, x in enumerate(part)] + ["b"] * random.randint(0, 9))
+    df = spark.createDataFrame([*texts.items(), (0, texts[1]), (None, items[0])], "doc_id bigint, text string").repartition(5)
+    found = {r.doc_id: (r["items"], r.n_matched) for r in decontamination.find_leaks(df, spark.createDataFrame(items.items(), "item_id int, text string")).collect()}
+    assert found.pop(None) == ([0], 200)
+    both = leaks_with_counts({0: texts[0], 1: texts[1]}, items)
+    expected = {k: (sorted(v), max(v.values())) for k, v in leaks_with_counts(texts, items).items()}
+    merged = {**both.get(0, {}), **both.get(1, {})}
+    expected[0] = (sorted(merged), max([*both.get(0, {}).values(), *both.get(1, {}).values()]))
+    assert found == expected and max(n for _, n in expected.values()) > 1000
+
+
+@pytest.mark.parametrize("n", [0, 1, 5, 40])
+def test_best_stretch(n):
+    random = np.random.Generator(np.random.PCG64(n))
+    for share in (0.3, 0.7, 0.9):
+        for _ in range(50):
+            equal = random.random(n) < share
+            a = np.ones((1, n), np.int64)
+            assert decontamination._best_stretch(equal) == decontamination.longest_overlap(a, np.where(equal, 1, 2)[None, :])[0]
 
 
 def test_leaks(spark, docs):
@@ -182,8 +217,8 @@ def test_leaks(spark, docs):
         w = passage.split()
         texts[100_000 + number] = " ".join(["before"] * number + [f"s{i}" if i % 9 == 4 else x for i, x in enumerate(w)] + ["after"])
     df = spark.createDataFrame(list(texts.items()), "doc_id bigint, text string")
-    found = {r.doc_id: r["items"] for r in decontamination.find_leaks(df, benchmark).collect()}
-    assert found == leaked(texts, items)
+    found = {r.doc_id: (r["items"], r.n_matched) for r in decontamination.find_leaks(df, benchmark).collect()}
+    assert found == {k: (sorted(v), max(v.values())) for k, v in leaks_with_counts(texts, items).items()}
     assert sum(k >= 100_000 for k in found) > 0.9 * len(items)
 
 
