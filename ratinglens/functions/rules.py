@@ -43,12 +43,16 @@ def percent(part: Column, whole: Column, digits: int) -> Column:
     return F.round(part.cast("double") / whole * 100, digits)
 
 
+def stddev_of_sums(n: Column, total: Column, squares: Column) -> Column:
+    """Sample standard deviation from count, sum and sum of squares; null for fewer than two values."""
+    spread = F.greatest(n * squares - total * total, F.lit(0.0))
+    return F.when(n > 1, F.sqrt(spread / (n * (n - 1))))
+
+
 def sample_stddev(value: Column) -> Column:
     """Sample standard deviation from exact sums.
 
     Ratings come in halves, so count, sum and sum of squares are exact and the result does not depend on how
     rows are spread over partitions. Null for fewer than two values.
     """
-    n, total, squares = F.count(value), F.sum(value), F.sum(value * value)
-    spread = F.greatest(n * squares - total * total, F.lit(0.0))
-    return F.when(n > 1, F.sqrt(spread / (n * (n - 1))))
+    return stddev_of_sums(F.count(value), F.sum(value), F.sum(value * value))

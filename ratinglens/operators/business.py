@@ -149,16 +149,20 @@ def trend_analysis(reviews: DataFrame) -> DataFrame:
 
 
 def reviewer_activity(users: DataFrame, reviews: DataFrame) -> DataFrame:
-    """One row per (business, known reviewer); reviewers without a user row drop out.
+    """One row per (business, known reviewer); reviewers without a user row drop out."""
+    return activity_of_pairs(users, reviews.groupBy("business_id", "user_id").agg(
+        F.round(F.avg("stars"), 2).alias("avg_rating"),
+        F.count("*").alias("review_count"),
+        F.sum("useful").alias("useful_votes"),
+    ))
+
+
+def activity_of_pairs(users: DataFrame, pairs: DataFrame) -> DataFrame:
+    """``reviewer_activity`` from its measures by (business, user).
 
     The join runs on the pre-aggregated pairs. A user with a very large share of them is split by the
     adaptive skew join, since the user side is one row per key.
     """
-    pairs = reviews.groupBy("business_id", "user_id").agg(
-        F.round(F.avg("stars"), 2).alias("avg_rating"),
-        F.count("*").alias("review_count"),
-        F.sum("useful").alias("useful_votes"),
-    )
     one_each = users.groupBy("user_id").agg(F.min(F.struct("name", "elite")).alias("user"))
     return pairs.join(one_each.select("user_id", "user.name", "user.elite"), "user_id")
 

@@ -7,19 +7,25 @@ from pyspark import StorageLevel
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from .. import fixed_values as V
 from ..operators import business as B
 from ..operators import competitive as C
 from ..operators import ingest as I
 from ..operators import serving as S
 from ..schemas import RESULT_TABLES
 from ..sources.order_tables import AS_OF, ReviewTables, read_review_tables, read_review_texts, read_reviews
+from ..session import staging_path
 from ..sources.topics import to_messages
+from ..sources.versioned import VersionedTables
+from ..streaming.state_ingest import StateIngest, known_ids
 from .analytics import run_all, run_touched
 
 STORED_BEFORE = "2000-01-01"   # reviews before that day count as stored already
 SENT_BATCHES = 10              # batches that count as sent already
 LATE_SINCE = "2001-10-20"      # reviews from that day on come in after the result tables were made
 SLICED_BATCH = 3               # the batch that in04 returns
+BATCHES = 3                    # batches in which reviews come in where statistics are merged
+EARLIER_DAY = "2001-05-01"     # as-of day of the tables before the last of those batches
 
 QUERIES = {}                   # name -> (spark, folder) -> DataFrame
 
@@ -421,6 +427,58 @@ def in15_incremental_comparisons(spark, folder):
     return _after_late_reviews(spark, folder)["detailed_comparisons"]
 
 
+def _versioned(spark: SparkSession) -> VersionedTables:
+    return VersionedTables(spark, staging_path(spark, "versioned"))
+
+
+@query
+def in08_bucketed_new_reviews(spark, folder):
+    """The stored reviews lie in buckets by id, of which those of the incoming ids are opened."""
+    reviews, store = read_reviews(spark, folder), _versioned(spark)
+    with store.change() as change:
+        change.replace("reviews", _stored(reviews), key="review_id", buckets=16)
+    return I.new_reviews(reviews, known_ids(store.current(), reviews)).select("review_id", "business_id", "user_id", "stars", "date")
+
+
+@query
+def in13_membership_time(spark, folder):
+    """A user's first review stands for the start of the membership; some texts cannot be read."""
+    t = _tables(spark, folder)
+    first = t.reviews.groupBy("user_id").agg(F.min("date").alias("first"))
+    since = F.when(F.col("user_id") % 7 == 0, "unknown").otherwise(F.col("first")).alias("yelping_since")
+    users = I.with_membership_time(t.users.join(first, "user_id").select("user_id", "name", since))
+    return users.withColumn("yelping_since", F.date_format("yelping_since", V.DATE_TEXT_FORMAT))
+
+
+def _from_merged_state(spark: SparkSession, folder: str) -> VersionedTables:
+    """All reviews in three batches: the tables after two of them as of an earlier day, brought up to date with the third."""
+    t, store = _tables(spark, folder), _versioned(spark)
+    ingest = StateIngest(store, t.business, t.users, EARLIER_DAY, buckets=8, refresh_every=0)
+    part = F.pmod(F.xxhash64("review_id"), F.lit(BATCHES))
+    for number in range(BATCHES):
+        if number == BATCHES - 1:
+            ingest.refresh()
+            ingest.asof = AS_OF
+        ingest.add(t.reviews.where(part == number), number)
+    ingest.refresh()
+    return store
+
+
+@query
+def in15_state_profiles(spark, folder):
+    return _from_merged_state(spark, folder).read("business_profiles")
+
+
+@query
+def in15_state_insights(spark, folder):
+    return _from_merged_state(spark, folder).read("competitive_insights")
+
+
+@query
+def in15_state_reviewers(spark, folder):
+    return _from_merged_state(spark, folder).read("top_reviewers")
+
+
 @query
 def in14_active_business(spark, folder):
     t = _tables(spark, folder)

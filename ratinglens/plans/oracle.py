@@ -476,6 +476,9 @@ SELECTS = {
     "in08_new_reviews": """
         select review_id, business_id, user_id, stars, date from review
         where review_id not in (select review_id from stored)""",
+    "in08_bucketed_new_reviews": """
+        select review_id, business_id, user_id, stars, date from review
+        where review_id not in (select review_id from stored)""",
     "in09_dedupe": """
         select review_id, business_id, user_id, date, stars, useful, funny
         from (select split_part(review_id, '-', 1) as review_id, business_id, user_id, date, stars, useful, funny,
@@ -490,6 +493,12 @@ SELECTS = {
     "in15_incremental_profiles": f"select {columns('business_profiles')} from profiles",
     "in15_incremental_insights": f"select {columns('competitive_insights')} from insights",
     "in15_incremental_comparisons": f"select {columns('detailed_comparisons')} from comparisons",
+    "in15_state_reviewers": "select * from reviewers",
+    "in15_state_profiles": f"select {columns('business_profiles')} from profiles",
+    "in15_state_insights": f"select {columns('competitive_insights')} from insights",
+    "in13_membership_time": """
+        select user_id, name, case when user_id % 7 <> 0 then min(date) end as yelping_since
+        from review join users using (user_id) group by user_id, name""",
     "in14_active_business": f"""
         select * from business where categories is not null and business_id in (
             select business_id from review group by 1 having count(*) >= {V.MIN_ACTIVE_REVIEWS})""",
