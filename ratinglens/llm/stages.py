@@ -4,7 +4,7 @@ Each takes documents (doc_id, text, source, and any other columns) and returns t
 Repeated and null ids are allowed: a row is told from others with its id by the digest of its text.
 """
 
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from . import decontamination, line_dedup, near_duplicates, packing, quality_rules
@@ -16,13 +16,17 @@ from .staging import staged
 BOILERPLATE_SHARE = 0.02
 
 
+def _digest(text: str) -> Column:
+    return F.unhex(F.md5(text)).alias("digest")
+
+
 def named(docs: DataFrame) -> DataFrame:
     """(doc_id, text) with the id and the text's digest as one id, so that rows which repeat an id are told apart."""
-    return docs.select(F.struct("doc_id", F.md5("text").alias("digest")).alias("doc_id"), "text")
+    return docs.select(F.struct("doc_id", _digest("text")).alias("doc_id"), "text")
 
 
 def _same(docs: DataFrame, other: DataFrame):
-    return docs["doc_id"].eqNullSafe(other["other_id"]) & F.md5(docs["text"]).eqNullSafe(other["other_digest"])
+    return docs["doc_id"].eqNullSafe(other["other_id"]) & F.unhex(F.md5(docs["text"])).eqNullSafe(other["other_digest"])
 
 
 def _keys(names: DataFrame) -> DataFrame:
@@ -48,7 +52,7 @@ def one_of_each(docs: DataFrame, repeats: DataFrame) -> DataFrame:
     """
     if repeats.isEmpty():
         return docs
-    again = docs.join(repeats, _same(docs, repeats), "left_semi").withColumn("_digest", F.md5("text"))
+    again = docs.join(repeats, _same(docs, repeats), "left_semi").withColumn("_digest", _digest("text"))
     return docs.join(repeats, _same(docs, repeats), "left_anti").unionByName(
         again.dropDuplicates(["doc_id", "_digest"]).select(docs.columns))
 
