@@ -129,7 +129,7 @@ def _measured(rows: DataFrame, text: str, host: str) -> DataFrame:
 
 
 def _judged(measured: DataFrame, limits: Limits) -> DataFrame:
-    """Measured rows, staged by the caller, with their host's rate and verdict."""
+    """Measured rows with their host's rate and verdict; they are computed twice unless the caller has staged them."""
     hosts = staged(host_verdicts(measured.drop("row"), limits).select(F.col("host").alias("of_host"), "rate", "verdict"))
     return measured.join(hosts, measured["host"].eqNullSafe(hosts["of_host"]), "left")
 
@@ -160,8 +160,7 @@ def quality_rules(docs: DataFrame, limits: Limits = Limits(), text: str = "text"
 def good_documents(docs: DataFrame, limits: Limits = Limits(), text: str = "text", host: str = "source") -> DataFrame:
     """The rows of ``docs`` that ``quality_rules`` keeps, with the columns of ``docs``.
 
-    Rows that fail by themselves are staged as their measures only, as they count for their host but do not come back.
+    The texts are measured once for the counts of the hosts and once more for the rows that stay, as staging the rows
+    with their texts in between takes almost as much disk as they have, and memory of the executors.
     """
-    measured = _measured(docs.select(F.struct("*").alias("row")), text, host)
-    alone = ~(base_failed(limits) | _soft_failed(limits.symbols, limits.dup_lines))
-    return _judged(staged(measured.withColumn("row", F.when(alone, F.col("row")))), limits).where(kept(limits)).select("row.*")
+    return _judged(_measured(docs.select(F.struct("*").alias("row")), text, host), limits).where(kept(limits)).select("row.*")
