@@ -28,18 +28,19 @@ def _byte_values(lower: bool) -> np.ndarray:
 _LOWER = _byte_values(True)
 _IS_WORD = np.ones(256, bool)
 _IS_WORD[_SPACES] = False
-_powers = [np.ones(1, _U64), np.ones(1, _U64)]
+_factors = np.zeros(0, _U64)
 
 
-def _power_tables(n: int) -> list[np.ndarray]:
-    """Powers of the multiplier and of its inverse modulo 2**64, at least n of each."""
-    if len(_powers[0]) < n:
-        size = max(n, SLICE_BYTES + 1)
-        for i, base in enumerate((_MULTIPLIER, pow(_MULTIPLIER, -1, 1 << 64))):
-            table = np.full(size, base, _U64)
-            table[0] = 1
-            _powers[i] = np.multiply.accumulate(table)
-    return _powers
+def _place_factors(n: int) -> np.ndarray:
+    """Random odd factors for the first n places in a word.
+
+    Unlike powers of one number they leave no words that are built to collide, such as a Thue-Morse word and its complement.
+    """
+    global _factors
+    if len(_factors) < n:
+        size = max(256, 1 << (n - 1).bit_length())
+        _factors = np.random.Generator(np.random.PCG64(_SEED + 1)).integers(0, 1 << 63, size, dtype=_U64) * _U64(2) + _U64(1)
+    return _factors
 
 
 def mix(values: np.ndarray) -> np.ndarray:
@@ -92,10 +93,12 @@ def words_of(data: np.ndarray, offsets: np.ndarray) -> Words:
     first = np.searchsorted(starts, offsets)
     if not len(starts):
         return Words(np.zeros(0, _U64), starts, first)
-    power, inverse = _power_tables(len(data))
     values = _LOWER[data]
-    values *= power[:len(data)]
-    return Words(mix(np.add.reduceat(values, starts) * inverse[starts]), starts, first)
+    bounds = np.concatenate(([0], starts, [len(data)]))         # white space goes with the word before it and counts nothing
+    lengths = np.diff(bounds)
+    place = np.arange(len(data)) - np.repeat(bounds[:-1], lengths)
+    values *= _place_factors(int(lengths.max())).take(place, mode="clip")
+    return Words(mix(np.add.reduceat(values, starts)), starts, first)
 
 
 def window_hashes(hashes: np.ndarray, places: np.ndarray, offsets) -> np.ndarray:
