@@ -193,7 +193,7 @@ SQL = {
         totals as (select source, count(*) as host_pages from pages group by source),
         lines as (select distinct source, text, unnest(string_split(text, chr(10))) as line from pages),
         dropped as (select source, line from lines join totals using (source)
-            where regexp_matches(line, '[^\x20\x09-\x0D]') group by source, line, host_pages having count(*) >= 5 and count(*) > host_pages * 0.1),
+            where regexp_matches(line, '[^\x20\x09-\x0D]') group by source, line, host_pages having count(*) >= 5 and count(*) > host_pages * 0.02),
         lists as (select source, list(line) as dropped from dropped group by source),
         split as (select doc_id, d.source, text, string_split(text, chr(10)) as lines,
             list_filter(string_split(text, chr(10)), lambda x: not list_contains(coalesce(dropped, []), x)) as kept
