@@ -276,6 +276,50 @@ def test_smaller_bins_are_opened_when_little_is_left():
     assert sum(lengths) <= 512 + 256
 
 
+def least_cost(pieces, sizes):
+    """Over all ways to put the pieces into bins."""
+    def put(i, bins):
+        if i == len(pieces):
+            return sum(sizes.cost(sizes.smallest(b)) for b in bins)
+        new = put(i + 1, [*bins, pieces[i]])
+        return min([new] + [put(i + 1, [*bins[:k], b + pieces[i], *bins[k + 1:]]) for k, b in enumerate(bins) if b + pieces[i] <= sizes.lengths[-1]])
+
+    return put(0, [])
+
+
+def test_packing_costs_little_more_than_the_best():
+    random, paid, best = Random(9), 0, 0
+    for _ in range(60):
+        sizes = packing.Sizes(random.choice([(32, 64, 128), (16, 64, 256), (100,)]), random.choice([1, 8, 40]), random.choice([64, 500, 1e6]))
+        pieces = sorted((random.randint(1, sizes.lengths[-1]) for _ in range(7)), reverse=True)
+        bins, offsets, lengths = packing.best_fit(np.array(pieces), sizes)
+        filled = np.bincount(bins, weights=pieces)
+        assert [sizes.smallest(int(f)) for f in filled] == lengths
+        mine, least = sum(map(sizes.cost, lengths)), least_cost(pieces, sizes)
+        assert least - 1e-6 <= mine <= 1.35 * least
+        paid, best = paid + mine, best + least
+    assert paid < 1.04 * best
+
+
+def test_several_sizes_win():
+    """Bins of one length only, and opening the largest always, both cost more than the chosen mixture."""
+    random, sizes = np.random.default_rng(5), packing.Sizes()
+    pieces = np.sort(np.minimum(random.lognormal(5.5, 1.2, 4000).astype(int) + 1, 2048))[::-1]
+    _, _, lengths = packing.best_fit(pieces, sizes)
+    paid = lambda lengths: sum(map(sizes.cost, lengths))
+    for size in sizes.lengths:
+        one = [sizes.smallest(u) for u in packing._packed(pieces, sizes, (size,))[2]]
+        assert paid(lengths) <= paid(one)
+    assert len(set(lengths)) > 1 and paid(lengths) < paid([sizes.smallest(u) for u in packing._packed(pieces, sizes, (2048,))[2]])
+
+
+def test_rows_alike_are_dealt_to_many_shards(spark, monkeypatch):
+    monkeypatch.setattr(packing, "REPEATS", 1000)
+    df = spark.range(40_000).select(F.lit(None).cast("bigint").alias("doc_id"), F.lit("a b c d e").alias("text"))
+    shards = packing.pack(df, shard_tokens=20_000).select((F.col("bin_id") / (1 << 32)).cast("int").alias("shard"), "length").groupBy("shard").count().collect()
+    assert len(shards) == 10 and sum(r["count"] for r in shards) == 40_000 and max(r["count"] for r in shards) < 5000
+
+
 def test_classifiers_on_held_out_rows(spark):
     folder = "/root/testdata/sf0.01"
     documents, labels = (spark.read.parquet(f"{folder}/{n}.parquet") for n in ("documents", "labels"))
