@@ -8,6 +8,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from . import decontamination, line_dedup, near_duplicates, packing, quality_rules
+from .key_bitmap import key_bitmap, split_by
 from .staging import staged
 
 
@@ -29,9 +30,13 @@ def _keys(names: DataFrame) -> DataFrame:
 
 
 def without(docs: DataFrame, names: DataFrame) -> DataFrame:
-    """Rows of ``docs`` whose id and text are not among ``names``, ids as ``named`` makes them; nulls count as values."""
+    """Rows of ``docs`` whose id and text are not among ``names``, ids as ``named`` makes them; nulls count as values.
+
+    Only rows whose id may be among them, by a bitmap of fixed size, are joined and have their texts shuffled.
+    """
     gone = _keys(names)
-    return docs.join(gone, _same(docs, gone), "left_anti")
+    maybe, stay = split_by(docs, "doc_id", key_bitmap(gone, "other_id"))
+    return stay.unionByName(maybe.join(gone, _same(maybe, gone), "left_anti"))
 
 
 def repeated(docs: DataFrame) -> DataFrame:
