@@ -8,13 +8,14 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from .models import sigmoid, stratified_sample, train_in_one_task
+from .models import SAMPLE_BYTES, bounded_sample, sigmoid, train_in_one_task
 from .staging import type_of
 from .word_arrays import mix, text_slices
 
 FEATURES = 2048
 SIZES = (1, 2, 3)
 TRAINING_BOUND = 1000           # documents of each language that the classifiers are fitted on, at most
+TRAINING_TOTAL = 40_000         # ... and of all together: each is a dense row of 8 KB in the task that fits them
 STEPS, RATE, DECAY = 400, 4.0, 1e-4
 MARGIN = 0.5                    # less of a lead over the next codeword, in weighted log loss a bit, is ambiguous
 UNDETERMINED = "und"
@@ -100,16 +101,24 @@ def _fit(languages: list[str]):
 
 
 def train(docs: DataFrame, bound: int = TRAINING_BOUND, text: str = "text", doc_id: str = "doc_id", lang: str = "lang") -> Model | None:
-    """The model of the languages of ``docs``, fitted on about ``bound`` documents of each; None without any language."""
-    known = docs.select(F.col(doc_id).alias("doc_id"), F.col(lang).alias("lang"), F.col(text).alias("text")).where(
+    """The model of the languages of ``docs``, None without any; languages must be few.
+
+    It is fitted on at most ``bound`` different documents of each, on fewer where languages are so many that these would be more than
+    TRAINING_TOTAL, and on at most ``models.SAMPLE_BYTES`` bytes of text.
+    """
+    known = docs.select(F.col(doc_id).alias("doc_id"), F.col(lang).cast("string").alias("lang"), F.col(text).alias("text")).where(
         "lang is not null and text is not null")
-    sample, languages = stratified_sample(known, "doc_id", "lang", bound)
+    languages = sorted(r[0] for r in known.select("lang").distinct().collect())
     if not languages:
         return None
+    each = max(1, min(bound, TRAINING_TOTAL // len(languages)))
+    sample = bounded_sample(known, ["doc_id", "text"], "text", each, "lang", SAMPLE_BYTES // len(languages))
     if len(languages) == 1:
         empty = np.zeros((FEATURES, 0), np.float32)
         return Model(languages, codewords(1), empty, empty[0], empty[0])
-    arrays = train_in_one_task(sample.select("lang", "text", F.xxhash64("doc_id").alias("place")), _fit(languages), ["place", "text"])
+    arrays = train_in_one_task(sample.select("lang", "text", F.xxhash64("doc_id").alias("place")), _fit(languages), ["place", "text", "lang"])
+    if not arrays:
+        return None
     return Model(languages, codewords(len(languages)), **arrays)
 
 

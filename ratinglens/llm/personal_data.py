@@ -207,9 +207,14 @@ def _fit(batches: Iterator[pa.RecordBatch]) -> dict[str, np.ndarray]:
 
 
 def train(docs: DataFrame, bound: int = TRAINING_BOUND, text: str = "text", doc_id: str = "doc_id") -> dict[str, np.ndarray]:
-    """Trees and threshold from about ``bound`` documents with digits or addresses; empty if they show only one class."""
+    """Trees and threshold from at most ``bound`` different documents with digits or addresses and at most
+    ``models.SAMPLE_BYTES`` bytes of text; empty if they show only one class.
+
+    Labels come from the base kinds' patterns, rewritten, and from format and cue, which are features as well, so the
+    threshold's precision measures agreement with those rules and not with labels by hand.
+    """
     able = docs.select(F.col(text).alias("text"), F.xxhash64(doc_id).alias("place")).where(F.col("text").rlike(GATE))
-    return train_in_one_task(bounded_sample(able, "place", bound), _fit, ["place", "text"])
+    return train_in_one_task(bounded_sample(able, ["place", "text"], "text", bound), _fit, ["place", "text"])
 
 
 def select_spans(text: str, model: dict[str, np.ndarray], scores: list[float], proposed: list[Span], base: list[Span]) -> list[tuple]:

@@ -96,14 +96,18 @@ def fit(batches: Iterator[pa.RecordBatch]) -> dict[str, np.ndarray]:
 
 def train(docs: DataFrame, labels: DataFrame, bound: int = TRAINING_BOUND, text: str = "text", doc_id: str = "doc_id",
           quality: str = "quality") -> np.ndarray:
-    """Weights learnt from at most about ``bound`` labelled documents.
+    """Weights learnt from at most ``bound`` documents with a label of 0 or 1 and at most ``models.SAMPLE_BYTES`` bytes of text.
 
-    The sample is taken of the labels, so it is small enough to be broadcast to the documents whatever their number.
+    Labels of one id count as one, the one that most of them give, 1 in a tie. So many different ids are chosen of them first,
+    so they are small enough to be broadcast to the documents whatever their number; of documents that repeat an id the
+    different texts are then chosen within the same bound. Null ids have no label; null texts are learnt from as empty ones.
     """
     labels = labels.select(F.col(doc_id).alias("labelled"), F.col(quality).alias("label")).where("label in (0, 1) and labelled is not null")
-    chosen = F.broadcast(bounded_sample(labels, "labelled", bound))
-    sample = docs.join(chosen, F.col(doc_id) == F.col("labelled")).select(
-        F.col("label").cast("double").alias("label"), F.col(text).alias("text"), F.xxhash64("labelled").alias("place"))
+    ids = labels.groupBy("labelled").agg((F.avg("label") >= 0.5).cast("double").alias("label")).withColumn("no_text", F.lit(""))
+    chosen = F.broadcast(bounded_sample(ids, ["labelled"], "no_text", bound))
+    sample = docs.select(F.col(doc_id).alias("doc_id"), F.col(text).alias("text")).join(chosen, F.col("doc_id") == F.col("labelled")).select(
+        "label", "text", F.xxhash64("labelled").alias("place"))
+    sample = bounded_sample(sample, ["place", "text"], "text", bound)
     return train_in_one_task(sample, fit, ["place", "text"]).get("weights", np.zeros(1 << FEATURE_BITS, np.float32))
 
 

@@ -41,7 +41,8 @@ def repeated_words(words: Column) -> Column:
     """Words that stand in a window of three words found twice or more in the text.
 
     Windows are sorted by a hash with their place in the low bits, and neighbours with one hash are compared by their
-    words. Should two different windows of a text share a hash, its windows are sorted by their words instead.
+    words. Should two different windows of a text share a hash, or a text have more words than the place has bits for,
+    its windows are sorted by their words instead.
     """
     mask = F.lit((1 << _PLACE_BITS) - 1).cast("bigint")
     place = lambda v: v.bitwiseAND(mask).cast("int")
@@ -73,7 +74,7 @@ def repeated_words(words: Column) -> Column:
             places(w), lambda i: F.shiftleft(F.xxhash64(*three(w, i)), _PLACE_BITS).bitwiseOR(i.cast("bigint"))))
         clash = lambda a, b: sure((hashed(a) == hashed(b)) & ~same_words(w, place(a), place(b)))
         clashes = lambda p: F.size(F.filter(p, lambda v, i: clash(v, F.get(p, i + 1)))) > 0
-        return _let(packed, lambda p: F.when(clashes(p), by_words(w)).otherwise(by_hash(w, p)))
+        return _let(packed, lambda p: F.when((F.size(w) > 1 << _PLACE_BITS) | clashes(p), by_words(w)).otherwise(by_hash(w, p)))
 
     return F.when(F.size(words) >= 4, _let(words, count)).otherwise(0)
 

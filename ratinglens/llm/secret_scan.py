@@ -1,10 +1,12 @@
 """Operator 1: secrets, found through an inverted index of the trigrams that the rules demand."""
 
 from dataclasses import dataclass
+from functools import reduce
 
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
+from .staging import staged
 from .trigram_queries import ANY, Query, rarest, trigram_query
 
 
@@ -36,6 +38,7 @@ ADDED_RULES = (
     Rule("private_key", r"-----BEGIN (RSA |EC |DSA |OPENSSH )?PRIVATE KEY-----"),
 )
 RULES = BASE_RULES + ADDED_RULES
+WORD_BITS = 63                  # trigrams whose bits lie in one long
 SPANS = "array<struct<start:bigint,order:int,end:bigint,kind:string>>"
 
 
@@ -53,15 +56,26 @@ def trigram_index(docs: DataFrame, trigrams: list[str], text: str = "text", doc_
 def candidates(index: DataFrame, rules: tuple[Rule, ...] = RULES) -> DataFrame:
     """(doc_id, kinds): the rules whose trigram query the postings of a document satisfy.
 
-    All intersections are made in one grouping by document, in which a document's postings are combined into a
-    bitmap before the shuffle. Rules that demand no trigram are not listed: they have to scan every text.
+    All intersections are made in one grouping by document, in which a document's postings are combined into
+    bitmaps of ``WORD_BITS`` trigrams each before the shuffle, as many as the rules' trigrams need. Rules that demand no
+    trigram are not listed: they have to scan every text.
     """
-    place = {t: i for i, t in enumerate(indexed_trigrams(rules))}
-    if len(place) > 63:
-        raise ValueError("more than 63 trigrams: index the rules in several groups")
-    bit = F.create_map(*[x for t, i in place.items() for x in (F.lit(t), F.lit(1 << i).cast("bigint"))])
-    masks = index.groupBy("doc_id").agg(F.bit_or(bit[F.col("trigram")]).alias("mask"))
-    holds = lambda alternative: F.col("mask").bitwiseAND(m := sum(1 << place[t] for t in alternative)) == m
+    place = {t: divmod(i, WORD_BITS) for i, t in enumerate(indexed_trigrams(rules))}
+    if not place:
+        return index.select("doc_id", F.array().cast("array<string>").alias("kinds")).where("false")
+    words = 1 + max(word for word, _ in place.values())
+
+    def bits_of(word):
+        bit = F.create_map(*[x for t, (w, i) in place.items() if w == word for x in (F.lit(t), F.lit(1 << i).cast("bigint"))])
+        return F.bit_or(F.coalesce(bit[F.col("trigram")], F.lit(0))).alias(f"mask_{word}")
+
+    def holds(alternative):
+        masks = {}
+        for word, i in map(place.get, alternative):
+            masks[word] = masks.get(word, 0) | 1 << i
+        return reduce(Column.__and__, [F.col(f"mask_{w}").bitwiseAND(F.lit(m)) == m for w, m in sorted(masks.items())])
+
+    masks = index.groupBy("doc_id").agg(*map(bits_of, range(words)))
     kinds = []
     for rule in rules:
         if rule.query != ANY:
@@ -102,14 +116,14 @@ def find_secrets(docs: DataFrame, rules: tuple[Rule, ...] = RULES, text: str = "
     """Each row of ``docs`` as struct ``row``, with ``spans``: (start, order, end, kind) of all matches by place.
 
     Each rule's Boolean trigram query is derived from its pattern. Postings of the demanded trigrams are
-    intersected into candidates (doc_id, kinds), which are joined back; a rule's pattern only runs on its
-    candidates. Rules without mandatory trigrams run on every text. Matches are leftmost and do not overlap within
+    intersected into candidates (doc_id, kinds), which are staged and joined back; by the size of their files Spark
+    broadcasts them, so that no text is shuffled, or sorts both sides. A rule's pattern only runs on its candidates. Rules without mandatory trigrams run on every text. Matches are leftmost and do not overlap within
     a kind; matches that are too short are dropped without another try.
 
     A null text has no spans. Null ids match null ids, and rows that repeat an id share their candidates, which are
     verified on each row's own text. Other columns, whatever their names, stay in ``row``.
     """
-    found = candidates(trigram_index(docs, indexed_trigrams(rules), text, doc_id), rules).withColumnRenamed("doc_id", "found_id")
+    found = staged(candidates(trigram_index(docs, indexed_trigrams(rules), text, doc_id), rules).withColumnRenamed("doc_id", "found_id"))
     rows = docs.select(F.struct("*").alias("row"))
     joined = rows.join(found, F.col(f"row.{doc_id}").eqNullSafe(F.col("found_id")), "left")
     body = F.coalesce(F.col(f"row.{text}"), F.lit(""))

@@ -107,6 +107,35 @@ def test_secret_spans(spark, docs):
         assert [(s.start, s.order, s.end) for s in row.spans] == expected
 
 
+def test_secrets_by_hundreds_of_rules(spark):
+    """Each rule finds its own text and no other, however many longs the rules' trigrams fill."""
+    rules = tuple(secret_scan.Rule(f"kind{i}", rf"k{i:03}x[a-f]{{3}}z{i:03}q[0-9]+") for i in range(150))
+    assert len(secret_scan.indexed_trigrams(rules)) > 4 * secret_scan.WORD_BITS
+    texts = [(i, f"before k{i:03}xabcz{i:03}q7{i} after") for i in range(150)] + [(None, "k007xabcz007q1"), (200, "k007xabcz008q1"), (201, None)]
+    found = secret_scan.find_secrets(spark.createDataFrame(texts, "doc_id int, text string"), rules).select("row.doc_id", "spans").collect()
+    kinds = {r.doc_id: [(s.kind, s.start) for s in r.spans] for r in found}
+    assert kinds == {i: [(f"kind{i}", 7)] for i in range(150)} | {None: [("kind7", 0)], 200: [], 201: []}
+
+
+def test_secrets_without_any_indexed_rule(spark):
+    rules = (secret_scan.Rule("digits", "[0-9]{4,}"),)
+    found = secret_scan.find_secrets(spark.createDataFrame([(1, "a 12345")], "doc_id int, text string"), rules).first()
+    assert [(s.start, s.end) for s in found.spans] == [(2, 7)]
+
+
+def test_base_kinds_as_their_patterns_are_given(spark, docs):
+    """The base kinds against patterns and least lengths as stated, in plain Python; the rules fold some lengths into the pattern."""
+    assign = re.compile(r"""((?i:password|passwd|secret|token|api_?key))["']?\x20*[:=]\x20*["']?([A-Za-z0-9+/_.=-]+)""")
+    stated = (("assign", assign, 2, 12), ("access", re.compile("AKIA[A-Z0-9]+"), 0, 18), ("hex", re.compile("[0-9a-f]+"), 0, 16))
+    edge = ["AKIA" + "B" * n for n in (12, 13, 14, 15)] + ["f" * n for n in (14, 15, 16, 17)] + ["Token:" + "a" * n for n in (11, 12)]
+    edge += ["AKIAAKIA" + "C" * 10, "xAPIKEY='" + "0a" * 9 + "'", "a\u00e9\U0001F600 secret = " + "1" * 12 + " g" + "0" * 16]
+    rows = docs.select("doc_id", "text").unionByName(spark.createDataFrame([(-i - 1, t) for i, t in enumerate(edge)], "doc_id bigint, text string"))
+    for row in secret_scan.find_secrets(rows).select("row.text", "spans").collect():
+        expected = sorted((m.start(), order, m.end(), kind) for order, (kind, pattern, group, least) in enumerate(stated)
+                          for m in pattern.finditer(row.text) if len(m[group]) >= least)
+        assert [tuple(s) for s in row.spans if s.order < 3] == expected
+
+
 @pytest.mark.parametrize("rule", secret_scan.RULES, ids=lambda r: r.kind)
 def test_trigram_query_is_necessary(rule):
     samples = ["API_KEY = abcdefghijkl", "passwd:abcdefghijkl", "AKIAABCDEFGHIJKLMN", "ghp_" + "a1" * 20, "xoxb-12345678901", "AIza" + "b" * 35,
@@ -352,9 +381,10 @@ def test_pipeline(spark, docs):
     assert {r.doc_id: r.n for r in found} == expected and len(expected) > 100
 
 
-@pytest.mark.parametrize("bits", [26, 60])
+@pytest.mark.parametrize("bits", [3, 26, 60])
 def test_repeated_words_whatever_the_hashes(spark, monkeypatch, bits):
-    """With 60 bits for the place four are left for the hash, so that different windows clash in almost every text."""
+    """With 60 bits for the place four are left for the hash, so that different windows clash in almost every text; with
+    three, most texts have more words than there are places."""
     monkeypatch.setattr(quality_rules, "_PLACE_BITS", bits)
     random = Random(3)
     texts = [" ".join(random.choice("abcde") for _ in range(n)) for n in (0, 3, 4, 5, 12, 20, 40, 60, 90)]
