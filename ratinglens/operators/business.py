@@ -4,6 +4,8 @@ Every grouping here is combined on the map side first, so a business, user or mo
 of all reviews reaches the shuffle as one partial row per task.
 """
 
+from functools import reduce
+
 from pyspark.sql import DataFrame, Window as W
 from pyspark.sql import functions as F
 
@@ -94,24 +96,18 @@ def temporal_analysis(reviews: DataFrame, period_type: str = "month") -> DataFra
 
 
 def temporal_analysis_all(months: DataFrame) -> DataFrame:
-    """Month, quarter and year rows from monthly ``period_totals``: the reviews are read once."""
-    starts = F.array(*[
-        F.struct(F.lit(kind).alias("period_type"), F.trunc("period_start", kind).alias("start"))
+    """Month, quarter and year rows from monthly ``period_totals``: the reviews are read once.
+
+    The months are dealt by business once, which the three period types share, so quarters and years add up where they
+    lie and nothing is shuffled three times. The number of partitions is given, so that adaptive execution does not
+    merge them: months compress so well that merged ones would take gigabytes in a task. A business has one row a month
+    at most, so none is a hot key.
+    """
+    partitions = int(months.sparkSession.conf.get("spark.sql.shuffle.partitions"))
+    by_business = months.repartition(partitions, "business_id")
+    return reduce(DataFrame.unionByName, [
+        temporal_table(by_business if kind == "month" else coarser_totals(by_business, kind), kind)
         for kind in V.PERIOD_TYPES])
-    totals = (
-        months.select("business_id", F.explode(starts).alias("period"), *PERIOD_MEASURES)
-        .groupBy("business_id", "period.period_type", F.col("period.start").alias("period_start"))
-        .agg(*[F.sum(measure).alias(measure) for measure in PERIOD_MEASURES])
-    )
-    kind = F.col("period_type")
-    day = F.col("period_start")
-    period = (
-        F.when(kind == "quarter", period_key(day, "quarter"))
-        .when(kind == "year", period_key(day, "year"))
-        .otherwise(period_key(day, "month")))
-    return totals.select(
-        "business_id", period.alias("period"), F.round(_mean_rating(), 2).alias("avg_rating"),
-        "review_count", "useful_total", "funny_total", "cool_total", "period_type")
 
 
 def trend_from_quarters(quarters: DataFrame) -> DataFrame:

@@ -131,3 +131,10 @@ def test_known_ids_are_found_without_shuffling_the_store(stored, make_reviews):
     assert "BroadcastHashJoin" in text
     below_join = text.split("BroadcastHashJoin")[1].split("BroadcastQueryStage")[0]
     assert "FileScan" in below_join
+
+
+def test_periods_share_one_shuffle_of_the_months(plain, no_broadcast):
+    """Quarters and years add up in the partitions of the months, which are neither exploded nor merged."""
+    text = plan(B.temporal_analysis_all(B.period_totals(plain.reviews)), run=True)
+    assert "Generate" not in text
+    assert text.count("REPARTITION_BY_NUM") == 3 and text.count("ReusedExchange") == 2 and text.count("FileScan") == 2
