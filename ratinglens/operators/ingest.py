@@ -111,14 +111,18 @@ def one_per_review(reviews: DataFrame) -> DataFrame:
     )
 
 
-def new_reviews(incoming: DataFrame, stored: DataFrame) -> DataFrame:
+def new_reviews(incoming: DataFrame, stored: DataFrame, small_batch: bool = True) -> DataFrame:
     """Incoming reviews whose id is not stored yet, one row per id.
 
     The stored ids are first reduced to those that came in again. With a small batch against a large store Spark
-    broadcasts the batch's ids (it checks their size) and the stored ids are scanned but not shuffled.
+    broadcasts the batch's ids (it checks their size) and the stored ids are scanned but not shuffled. A batch that is
+    not small (``small_batch=False``) is read once and meets the stored ids where its rows were made distinct, so its
+    ids are not shuffled a second time.
     """
     incoming = one_per_review(incoming)
-    known = stored.select("review_id").join(incoming.select("review_id"), "review_id", "left_semi")
+    known = stored.select("review_id")
+    if small_batch:
+        known = known.join(incoming.select("review_id"), "review_id", "left_semi")
     return incoming.join(known, "review_id", "left_anti").select(incoming.columns)
 
 

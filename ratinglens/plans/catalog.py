@@ -368,8 +368,9 @@ def _stored(reviews: DataFrame) -> DataFrame:
 
 @query
 def in08_new_reviews(spark, folder):
-    reviews = read_reviews(spark, folder)
-    return I.new_reviews(reviews, _stored(reviews)).select("review_id", "business_id", "user_id", "stars", "date")
+    reviews = _shared(read_reviews(spark, folder))
+    return I.new_reviews(reviews, _stored(reviews), small_batch=False).select(
+        "review_id", "business_id", "user_id", "stars", "date")
 
 
 @query
@@ -382,9 +383,10 @@ def in09_dedupe(spark, folder):
 
 @query
 def in10_all_reviews(spark, folder):
-    reviews = read_reviews(spark, folder)
+    reviews = _shared(read_reviews(spark, folder))
     stored = _stored(reviews)
-    return I.all_reviews(stored, I.new_reviews(reviews, stored)).select("review_id", "business_id", "user_id", "date")
+    return I.all_reviews(stored, I.new_reviews(reviews, stored, small_batch=False)).select(
+        "review_id", "business_id", "user_id", "date")
 
 
 @query
@@ -434,10 +436,11 @@ def _versioned(spark: SparkSession) -> VersionedTables:
 @query
 def in08_bucketed_new_reviews(spark, folder):
     """The stored reviews lie in buckets by id, of which those of the incoming ids are opened."""
-    reviews, store = read_reviews(spark, folder), _versioned(spark)
+    reviews, store = _shared(read_reviews(spark, folder)), _versioned(spark)
     with store.change() as change:
         change.replace("reviews", _stored(reviews), key="review_id", buckets=16)
-    return I.new_reviews(reviews, known_ids(store.current(), reviews)).select("review_id", "business_id", "user_id", "stars", "date")
+    return I.new_reviews(reviews, known_ids(store.current(), reviews), small_batch=False).select(
+        "review_id", "business_id", "user_id", "stars", "date")
 
 
 @query

@@ -9,6 +9,7 @@ from ratinglens.operators import business as B
 from ratinglens.operators import competitive as C
 from ratinglens.operators import ingest as I
 from ratinglens.operators import serving as S
+from ratinglens.plans import catalog
 from ratinglens.sources.order_tables import AS_OF, read_business, read_review_tables, read_review_texts
 
 from .conftest import SMALL
@@ -138,3 +139,18 @@ def test_periods_share_one_shuffle_of_the_months(plain, no_broadcast):
     text = plan(B.temporal_analysis_all(B.period_totals(plain.reviews)), run=True)
     assert "Generate" not in text
     assert text.count("REPARTITION_BY_NUM") == 3 and text.count("ReusedExchange") == 2 and text.count("FileScan") == 2
+
+
+def test_a_large_batch_is_shuffled_once(stored, no_broadcast):
+    """The rows by id and the stored ids: no exchange of the batch's ids beside its rows."""
+    text = plan(I.new_reviews(stored.drop("text"), stored, small_batch=False))
+    assert text.count("Exchange hashpartitioning(review_id") == 2 and text.count("FileScan") == 2
+
+
+@pytest.mark.parametrize("name", ["in08_new_reviews", "in08_bucketed_new_reviews", "in10_all_reviews"])
+def test_order_lines_are_joined_once_for_new_reviews(spark, name):
+    """A query that reads the reviews in several places does not join the tables below them in each."""
+    spark.catalog.clearCache()
+    text = plan(catalog.QUERIES[name](spark, SMALL))
+    spark.catalog.clearCache()
+    assert "InMemoryTableScan" in text
