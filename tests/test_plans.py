@@ -5,11 +5,13 @@ import re
 import pytest
 from pyspark.sql import functions as F
 
+from ratinglens.functions.key_filter import may_be_among
 from ratinglens.operators import business as B
 from ratinglens.operators import competitive as C
 from ratinglens.operators import ingest as I
 from ratinglens.operators import serving as S
 from ratinglens.plans import catalog
+from ratinglens.plans.analytics import run_all, run_touched
 from ratinglens.sources.order_tables import AS_OF, read_business, read_review_tables, read_review_texts
 
 from .conftest import SMALL
@@ -154,3 +156,30 @@ def test_order_lines_are_joined_once_for_new_reviews(spark, name):
     text = plan(catalog.QUERIES[name](spark, SMALL))
     spark.catalog.clearCache()
     assert "InMemoryTableScan" in text
+
+
+@pytest.mark.parametrize("name", ["in15_incremental_profiles", "in15_incremental_insights"])
+def test_order_lines_are_joined_once_for_late_reviews(spark, name):
+    """The tables before and after the late reviews are made of reviews that were staged, not of the order lines again."""
+    spark.catalog.clearCache()
+    text = plan(catalog.QUERIES[name](spark, SMALL))
+    spark.catalog.clearCache()
+    assert "stars" in text and "l_orderkey" not in text
+
+
+def test_reviews_of_others_are_left_out_before_the_join_with_touched_ids(spark, plain, stored, no_broadcast):
+    stored_tables = {name: df.limit(0) for name, df in run_all(plain.business, plain.users, stored, AS_OF).tables.items()}
+    run = run_touched(stored_tables, stored.where("business_id = 1").select("business_id"), plain.business, plain.users, stored, AS_OF)
+    text = plan(run.tables["rating_distribution"])
+    path = above(text, "BroadcastHashJoin [shiftright(pmod")
+    assert any(line.startswith("Exchange hashpartitioning(coalesce(business_id") for line in path)
+    assert "FileScan" in text.split("BroadcastHashJoin [shiftright(pmod")[1].split("BroadcastExchange")[0]
+    run.release()
+
+
+def test_a_bitmap_keeps_all_keys_and_few_others(spark):
+    numbers = spark.range(100000).select(F.when(F.col("id") > 0, F.col("id")).alias("business_id"))
+    keys = numbers.where("business_id is null or business_id % 50 = 0")
+    found = may_be_among(numbers, "business_id", keys)
+    assert found.columns == ["business_id"] and keys.exceptAll(found).isEmpty() and found.count() < 2300
+    assert may_be_among(numbers, "business_id", keys.where("false")).isEmpty()
