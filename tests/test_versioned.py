@@ -6,7 +6,7 @@ from pathlib import Path
 import pytest
 from pyspark.sql import functions as F
 
-from ratinglens.sources.versioned import VersionedTables, bucket_of, touched_buckets
+from ratinglens.sources.versioned import DEAL, VersionedTables, bucket_of, dealt, touched_buckets
 
 from .conftest import rows
 
@@ -143,3 +143,29 @@ def test_empty_and_new_tables(spark, store):
     store.register_views(["a"])
     assert spark.sql("select sum(value) as n from a").first().n == 10 and store.read("b").count() == 1
     assert store.current().tables() == ["a", "b"]
+
+
+def test_dealt_rows_are_written_where_they_lie(spark, store):
+    """Each partition holds rows of one bucket, so a write needs no shuffle and makes one file a partition at most."""
+    parts = 3 * -(-int(spark.conf.get("spark.sql.shuffle.partitions")) // 3)
+    with_null = numbers(spark, 0, 300).unionByName(spark.createDataFrame([(None, 1)], "key bigint, value bigint"))
+    rows_of = dealt(with_null, "key", 3)
+    lies = rows_of.select(F.spark_partition_id().alias("p"), bucket_of("key", 3).alias("b"), F.pmod(F.xxhash64("key"), F.lit(parts)).alias("place"))
+    assert lies.where("p <> place or p % 3 <> b").isEmpty() and rows_of.rdd.getNumPartitions() == parts
+    assert rows_of.groupBy(DEAL, "key").count()._jdf.queryExecution().executedPlan().toString().count("Exchange") == 1
+    with store.change() as change:
+        change.replace("a", rows_of.drop(DEAL), key="key", buckets=3, lies_dealt=True)
+    assert len(named_in(store.current(), "a")) <= parts
+    assert store.read("a").where(bucket_of("key", 3) == 1).count() == store.current().read("a", [1]).count()
+    keys = numbers(spark, 5, 6).select("key")
+    with store.change() as change:                                       # rows of other keys in the bucket stay
+        change.replace_keys("a", keys, dealt(spark.createDataFrame([(5, -5)], "key bigint, value bigint"), "key", 3).drop(DEAL), lies_dealt=True)
+    expected = {i: i * 10 for i in range(300)} | {5: -5, None: 1}
+    assert {r["key"]: r["value"] for r in rows(store.read("a"))} == expected and store.read("a").count() == 301
+    assert spark.conf.get("spark.sql.maxConcurrentOutputFileWriters") == "0"
+
+
+def test_pieces_of_a_key_lie_apart_in_its_bucket(spark):
+    pieces = dealt(spark.range(40).select(F.lit(7).alias("key"), "id"), "key", 2, F.col("id") % 2)
+    lies = rows(pieces.select(F.spark_partition_id().alias("p"), "id").groupBy("p").agg(F.count("*").alias("n")))
+    assert [r["n"] for r in lies] == [20, 20] and len({r["p"] % 2 for r in lies}) == 1
