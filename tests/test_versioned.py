@@ -3,6 +3,7 @@
 import os
 from pathlib import Path
 
+import pyarrow.parquet as pq
 import pytest
 from pyspark.sql import functions as F
 
@@ -169,3 +170,12 @@ def test_pieces_of_a_key_lie_apart_in_its_bucket(spark):
     pieces = dealt(spark.range(40).select(F.lit(7).alias("key"), "id"), "key", 2, F.col("id") % 2)
     lies = rows(pieces.select(F.spark_partition_id().alias("p"), "id").groupBy("p").agg(F.count("*").alias("n")))
     assert [r["n"] for r in lies] == [20, 20] and len({r["p"] % 2 for r in lies}) == 1
+
+
+def test_only_the_key_of_dealt_rows_has_ranges(spark, store):
+    with store.change() as change:
+        change.replace("a", dealt(numbers(spark, 0, 100), "key", 2).drop(DEAL), key="key", buckets=2, lies_dealt=True)
+    group = pq.ParquetFile(next(Path(store.root, "a").rglob("*.parquet"))).metadata.row_group(0)
+    known = {group.column(i).path_in_schema: bool(group.column(i).statistics and group.column(i).statistics.has_min_max) for i in range(2)}
+    assert known == {"key": True, "value": False}
+    assert store.read("a").where("key = 7 and value = 70").count() == 1
